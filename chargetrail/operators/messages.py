@@ -72,26 +72,20 @@ def flatten_struct(df: DataFrame, struct: str = "new_body", drop: tuple[str, ...
     return df.select(*kept, *lifted)
 
 
-def _samples(df: DataFrame, only_power: bool) -> DataFrame:
-    """One row per sampled value, as struct columns `_reading` and `_sample`."""
-    samples = F.col("_reading.sampled_value")
-    if only_power:
-        # An element test after explode would not move into the array, so it is applied before.
-        samples = F.filter(
-            samples, lambda sample: (sample["measurand"] == IMPORT_POWER) & sample["phase"].isNull()
-        )
-    return df.withColumn("_reading", F.explode("new_body.meter_value")).withColumn(
-        "_sample", F.explode(samples)
-    )
-
-
 def meter_samples(df: DataFrame, keep: list[str] | None = None, only_power: bool = False) -> DataFrame:
     """Unpacked MeterValues messages to one row per sampled value.
 
     `keep` lists the envelope columns of the result; without them the five sample columns remain.
     Empty or missing arrays give no row. `only_power` keeps total import power (no phase) alone.
     """
-    return _samples(df, only_power).select(
+    # The first explode is an outer one because Spark tests the array of an inner one first, which
+    # parses the JSON a second time; the inner explode after it drops the same rows.
+    samples = df.withColumn("_reading", F.explode_outer("new_body.meter_value")).withColumn(
+        "_sample", F.explode("_reading.sampled_value")
+    )
+    if only_power:
+        samples = samples.where(_is_import_power("_sample."))
+    return samples.select(
         *(keep or []),
         F.col("new_body.transaction_id").alias("transaction_id"),
         *([F.col("new_body.connector_id").alias("connector_id")] if keep else []),
@@ -102,9 +96,13 @@ def meter_samples(df: DataFrame, keep: list[str] | None = None, only_power: bool
     )
 
 
+def _is_import_power(prefix: str = "") -> Column:
+    return (F.col(f"{prefix}measurand") == IMPORT_POWER) & F.col(f"{prefix}phase").isNull()
+
+
 def import_power(df: DataFrame) -> DataFrame:
     """Total import power among flattened samples: that measurand, and no phase."""
-    return df.where((F.col("measurand") == IMPORT_POWER) & F.col("phase").isNull())
+    return df.where(_is_import_power())
 
 
 def silver(log: DataFrame, message: MessageClass) -> DataFrame:

@@ -20,11 +20,12 @@ CHUNK_SECONDS = 600
 
 
 def time_chunk(ts: Column | str, seconds: int = CHUNK_SECONDS) -> Column:
-    """Number of the stretch of `seconds` that `ts` falls in; any width gives the same results.
+    """Start of the stretch of `seconds` that `ts` falls in; any width gives the same results.
 
     A narrower stretch bounds the rows per task more tightly, a wider one makes fewer summaries.
     """
-    return F.floor(epoch_seconds(ts) / seconds)
+    at = epoch_seconds(ts)
+    return at - F.pmod(at, F.lit(seconds))
 
 
 def ordered_columns(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chargetrail.functions import epoch_seconds, positive_flag
@@ -75,33 +75,50 @@ def parking_time(
     samples = df.select(
         key,
         time_chunk(ts, chunk_seconds).alias(CHUNK),
-        F.struct(F.col(ts).alias("ts"), F.col(tie or value).alias("tie")).alias("_at"),
-        F.struct(
-            epoch_seconds(ts).alias("seconds"), (positive_flag(value) == 0).alias("idle")
-        ).alias("_sample"),
+        F.col(ts).alias("_ts"),
+        F.col(tie or value).alias("_tie"),
+        epoch_seconds(ts).alias("_seconds"),
+        (1 - positive_flag(value)).alias("_idle"),
     )
 
-    def idle_gap(before: str, after: str):
-        both = F.col(f"{before}.idle") & F.col(f"{after}.idle")
-        return F.when(both, F.col(f"{after}.seconds") - F.col(f"{before}.seconds")).otherwise(0)
+    def gap(seconds: Column, idle: Column, seconds_before: Column, idle_before: Column) -> Column:
+        return F.when((idle == 1) & (idle_before == 1), seconds - seconds_before).otherwise(0)
 
-    within = Window.partitionBy(key, CHUNK).orderBy("_at")
+    seconds, idle = F.col("_seconds"), F.col("_idle")
+    within = Window.partitionBy(key, CHUNK).orderBy("_ts", "_tie")
+    idle_before, idle_after = F.lag(idle).over(within), F.lead(idle).over(within)
+    # Plain numbers only, so that the chunks are aggregated by hash.
     chunks = (
-        samples.withColumn("_before", F.lag("_sample").over(within))
+        samples.select(
+            key,
+            CHUNK,
+            "_seconds",
+            "_idle",
+            gap(seconds, idle, F.lag(seconds).over(within), idle_before).alias("_gap"),
+            F.when(idle_before.isNull(), idle).alias("_first_idle"),
+            F.when(idle_after.isNull(), idle).alias("_last_idle"),
+        )
         .groupBy(key, CHUNK)
         .agg(
-            F.sum(idle_gap("_before", "_sample")).alias("_inner"),
-            F.max("_sample.idle").alias("_any_idle"),
-            F.min_by("_sample", "_at").alias("_first"),
-            F.max_by("_sample", "_at").alias("_last"),
+            F.sum("_gap").alias("_inner"),
+            F.max("_idle").alias("_any_idle"),
+            F.min("_seconds").alias("_from"),
+            F.max("_seconds").alias("_to"),
+            F.max("_first_idle").alias("_first_idle"),
+            F.max("_last_idle").alias("_last_idle"),
         )
     )
     across = Window.partitionBy(key).orderBy(CHUNK)
-    total = F.sum(F.col("_inner") + idle_gap("_before", "_first"))
+    bridge = gap(
+        F.col("_from"), F.col("_first_idle"), F.lag("_to").over(across), F.lag("_last_idle").over(across)
+    )
     return (
-        chunks.withColumn("_before", F.lag("_last").over(across))
+        chunks.select(key, "_inner", "_any_idle", bridge.alias("_bridge"))
         .groupBy(key)
-        .agg(F.round(total / 3600, 2).alias(name), F.max("_any_idle").alias("_any_idle"))
-        .where("_any_idle")
+        .agg(
+            F.round((F.sum("_inner") + F.sum("_bridge")) / 3600, 2).alias(name),
+            F.max("_any_idle").alias("_any_idle"),
+        )
+        .where("_any_idle = 1")
         .drop("_any_idle")
     )

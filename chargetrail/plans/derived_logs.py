@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chargetrail.schemas import IMPORT_POWER, METER_VALUES, START_REQUEST, START_RESPONSE, STATUS, STOP_REQUEST
+from chargetrail.sources import spread
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ssxxx"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
@@ -120,7 +121,7 @@ def charging_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.to_json(stop_request),
             )
         )
-        .unionByName(_meter_messages(table(spark, sf_dir, "lineitem")))
+        .unionByName(_meter_messages(spread(table(spark, sf_dir, "lineitem"))))
     )
 
 

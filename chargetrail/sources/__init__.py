@@ -8,6 +8,7 @@ from chargetrail.sources.files import (
     read_parquet,
     read_table,
     read_time_slice,
+    spread,
 )
 from chargetrail.sources.index import with_row_index
 
@@ -19,5 +20,6 @@ __all__ = [
     "read_parquet",
     "read_table",
     "read_time_slice",
+    "spread",
     "with_row_index",
 ]

@@ -22,8 +22,7 @@ def read_csv_log(
 ) -> DataFrame:
     """Event-log CSV. `schema=None` infers the types, which costs a second pass over the files.
 
-    Use `escape='"'` for files that double their quotes. A `.gz` file is one split: repartition
-    after the scan if single files are large.
+    Use `escape='"'` for files that double their quotes. A `.gz` file is one split: see `spread`.
     """
     reader = (
         spark.read.option("header", header).option("delimiter", delimiter).option("escape", escape)
@@ -32,6 +31,16 @@ def read_csv_log(
     return reader.csv(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores if it has fewer splits than there are cores.
+
+    Meant before costly parsing of few unsplittable files (`.gz`, small Parquet). A scan with many
+    splits is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
