@@ -27,7 +27,7 @@ def parse_timestamp(text: Column | str) -> Column:
 
 def epoch_seconds(ts: Column | str) -> Column:
     """Whole seconds since 1970 (rounded down)."""
-    return F.unix_timestamp(_col(ts))
+    return F.unix_seconds(_col(ts).cast("timestamp"))
 
 
 def hours_between(start: Column | str, stop: Column | str) -> Column:

@@ -432,7 +432,8 @@ def correlate_request_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sessions(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     log = charging_log(spark, sf_dir)
     started = started_transactions(silver(log, WIDE_START_RESPONSE), silver(log, WIDE_START_REQUEST))
-    return silver(log, WIDE_STOP_REQUEST).transform(attach_starts, started, **options)
+    stops = materialise(silver(log, WIDE_STOP_REQUEST), "stops")
+    return stops.transform(attach_starts, started, **options)
 
 
 def _epochs(df: DataFrame) -> DataFrame:
@@ -449,18 +450,15 @@ def session_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT s.*, total_parking_time FROM sessions s LEFT JOIN parked p USING (transaction_id)"""
 )
 def parking_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    power = meter_samples(_unpacked_meter_values(spark, sf_dir), only_power=True)
-    sessions = materialise(_sessions(spark, sf_dir), "sessions")
-    return _epochs(attach_parking(sessions, idle_hours(power)))
-
-
-def _unpacked_meter_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     meter = WIDE_METER_VALUES
-    return (
+    power = (
         charging_log(spark, sf_dir)
         .transform(of_class, meter.action, meter.message_type)
         .transform(unpack_json, meter.body)
+        .transform(meter_samples, only_power=True)
     )
+    sessions = materialise(_sessions(spark, sf_dir), "sessions")
+    return _epochs(attach_parking(sessions, idle_hours(materialise(power, "power"))))
 
 
 # Aggregations

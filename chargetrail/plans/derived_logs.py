@@ -81,7 +81,7 @@ def charging_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     The session of an order lasts as many seconds as the order costs, and uses as many Wh as it
     costs cents. Stops of open orders (about a third) carry no transaction id.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     began = F.unix_timestamp("o_orderdate")
     ended = began + F.floor("o_totalprice")
     start_id = F.concat(F.lit("start-"), F.col("o_orderkey"))

@@ -55,21 +55,18 @@ def last_connections(log: DataFrame) -> DataFrame:
 
 
 def gold_cdr(
-    start_requests: DataFrame,
-    start_responses: DataFrame,
+    started: DataFrame,
     stop_requests: DataFrame,
     power: DataFrame,
     unit: str = "kwh",
     keep_left_key: bool = False,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """One wide charge data record per stopped transaction, from the silver tables.
+    """One wide charge data record per stopped transaction.
 
-    Started transactions are written once: the parking time is attached to them before the stops
-    are, so that both joins are on the same key and the frequent keys of each left side (such as a
-    missing transaction id) can be counted from a scan.
+    Pass tables, not plans: keys are counted before they are joined. The parking time is attached
+    to the started transactions before the stops are, so the counted left sides are both tables.
     """
-    started = materialise(started_transactions(start_responses, start_requests), "started")
     parking = parking_time(power, chunk_seconds=chunk_seconds)
     started = salted_left_join(started, parking, "transaction_id")
     return (
@@ -88,20 +85,27 @@ def cdr_from_log(
 ) -> DataFrame:
     """Charge data records straight from an event log in a columnar table.
 
-    Each message class is one pruned scan. A CSV log would be parsed once per class: use the
-    bronze table of `write_bronze` for it.
+    Each message class is scanned and its JSON parsed once; the few columns that are needed are
+    written to the shared folder, because joins on a parsed value would parse it again to test and
+    count it. A CSV log would be read once per class: use the bronze table of `write_bronze` then.
     """
 
     def of(message: MessageClass) -> MessageClass:
         return message.wide_ids() if wide_ids else message
 
+    started = started_transactions(silver(log, of(START_RESPONSE)), silver(log, of(START_REQUEST)))
+    stops = silver(log, of(STOP_REQUEST)).select("transaction_id", "meter_stop", "timestamp")
     meter = of(METER_VALUES)
-    power = log.transform(of_class, meter.action, meter.message_type).transform(unpack_json, meter.body)
+    power = (
+        log.transform(of_class, meter.action, meter.message_type)
+        .transform(unpack_json, meter.body)
+        .transform(meter_samples, only_power=True)
+        .select("transaction_id", "timestamp", "value")
+    )
     return gold_cdr(
-        silver(log, of(START_REQUEST)),
-        silver(log, of(START_RESPONSE)),
-        silver(log, of(STOP_REQUEST)),
-        meter_samples(power, only_power=True),
+        materialise(started, "started"),
+        materialise(stops, "stops"),
+        materialise(power, "power"),
         unit,
         keep_left_key,
         chunk_seconds,
@@ -110,7 +114,7 @@ def cdr_from_log(
 
 def write_bronze(log: DataFrame, path: str) -> None:
     """Bronze: the raw log as Parquet, one folder per message class, parsed from its source once."""
-    write_partitioned(log, path, ["action", "message_type"], mode="overwrite")
+    write_partitioned(log, path, ["action", "message_type"], mode="overwrite", rebalance=False)
 
 
 def write_silver(bronze: DataFrame, base: str, classes: list[MessageClass] | None = None) -> None:
@@ -122,16 +126,10 @@ def write_silver(bronze: DataFrame, base: str, classes: list[MessageClass] | Non
 def write_gold(spark: SparkSession, silver_base: str, path: str, **options) -> None:
     """Gold: charge data records from the silver tables."""
     tables = {name: read_parquet(spark, f"{silver_base}/{name}") for name in SILVER}
-    write_parquet(
-        gold_cdr(
-            tables[START_REQUEST.table],
-            tables[START_RESPONSE.table],
-            tables[STOP_REQUEST.table],
-            import_power(tables[METER_VALUES.table]),
-            **options,
-        ),
-        path,
-    )
+    started = started_transactions(tables[START_RESPONSE.table], tables[START_REQUEST.table])
+    power = import_power(tables[METER_VALUES.table])
+    cdr = gold_cdr(materialise(started, "started"), tables[STOP_REQUEST.table], power, **options)
+    write_parquet(cdr, path)
 
 
 def medallion(

@@ -20,17 +20,19 @@ def write_partitioned(
     mode: str = "append",
     sort_within: tuple[str, ...] | list[str] = (),
     fmt: str = "parquet",
+    rebalance: bool = True,
 ) -> None:
     """Write a folder per partition value.
 
     Rows are rebalanced on the partition columns first: a small partition becomes one file, and
     adaptive execution splits a partition that holds far more rows than the others over several
-    tasks. `mode="replace"` replaces just the partitions present in `df`, so that a repeated run
+    tasks. With a handful of partition values `rebalance=False` saves that shuffle: every task then
+    writes one file per value it meets. `mode="replace"` replaces just the partitions present in `df`, so that a repeated run
     leaves the same table; `append` adds files. `sort_within` clusters rows inside the files so
     that scans skip row groups on these columns.
     """
     partition_by = list(partition_by)
-    placed = df.hint("rebalance", *partition_by)
+    placed = df.hint("rebalance", *partition_by) if rebalance else df
     if sort_within:
         placed = placed.sortWithinPartitions(*partition_by, *sort_within)
     writer = placed.write.format(fmt).partitionBy(*partition_by)
@@ -50,7 +52,10 @@ def write_routed(
 ) -> None:
     """Send each message to the folder `table=<action><Request|Response>`, all in one pass.
 
-    An empty input writes no rows and creates no table folder.
+    There are few tables, so rows are not shuffled unless further partition columns are given. An
+    empty input writes no rows and creates no table folder.
     """
     routed = df.withColumn("table", table_name())
-    write_partitioned(routed, path, ["table", *partition_by], mode, fmt=fmt)
+    write_partitioned(
+        routed, path, ["table", *partition_by], mode, fmt=fmt, rebalance=bool(partition_by)
+    )
