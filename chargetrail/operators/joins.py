@@ -54,6 +54,28 @@ def salted_left_join(
     return spread_left.join(repeated_right, [on, _SALT], "left").drop(_SALT)
 
 
+def attach_per_group(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Add the columns of `right`, which has one row per group of `by`; NULL groups match too.
+
+    Frequent groups of `left` are spread as in `salted_left_join`. Without `by`, `right` is one row.
+    """
+    added = [name for name in right.columns if name not in by]
+    if not by:
+        return left.withColumns({name: right.select(name).scalar() for name in added})
+    group = F.struct(*by)
+    return salted_left_join(
+        left.withColumn("_group", group), right.select(group.alias("_group"), *added), "_group"
+    ).drop("_group")
+
+
+def with_bounds(
+    df: DataFrame, keys: list[str], column: str, first: str = "first", last: str = "last"
+) -> DataFrame:
+    """Add the smallest and largest `column` of the row's key to every row."""
+    bounds = df.groupBy(*keys).agg(F.min(column).alias(first), F.max(column).alias(last))
+    return attach_per_group(df, bounds, keys)
+
+
 def correlate(
     responses: DataFrame,
     requests: DataFrame,

@@ -1,8 +1,8 @@
 """Ordered computations per key that do not put a whole key into one task.
 
 A plain window sends every row of a key to one task. Here a key's rows are cut into chunks of its
-order. Rows are shuffled once, by (key, chunk); what a chunk needs to know of the earlier ones
-comes as one extra "carry" row at its head. Carry rows are made from one summary row per chunk.
+order. Rows are shuffled by (key, chunk); what a chunk needs to know of the earlier ones comes as
+one extra "carry" row at its head. Carry rows are made from one summary row per chunk.
 """
 
 from __future__ import annotations
@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chargetrail.functions import epoch_seconds
+from chargetrail.session import materialise
 
 CHUNK = "_chunk"
 _IS_ROW = "_is_row"
 CHUNK_SECONDS = 600
+MOST_ROWS = 20_000_000
 
 
 def time_chunk(ts: Column | str, seconds: int = CHUNK_SECONDS) -> Column:
@@ -28,6 +30,26 @@ def time_chunk(ts: Column | str, seconds: int = CHUNK_SECONDS) -> Column:
     return at - F.pmod(at, F.lit(seconds))
 
 
+def in_ranges(df: DataFrame, order: list[str], chunk: str, position: str | None = None) -> DataFrame:
+    """Sort `df` by ranges, one per task, and write it; `chunk` numbers the ranges.
+
+    `position` adds the row's number within its range. The column `_place` holds the row's place in
+    the input and is the last sort column: it keeps equal rows in their order and lets a large
+    group of copies be cut into several ranges.
+    """
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    ranged = (
+        placed.repartitionByRange(*order, "_place")
+        .sortWithinPartitions(*order, "_place")
+        .withColumn(chunk, F.spark_partition_id())
+    )
+    if position:
+        # The id holds the row's number within its task in the low 33 bits.
+        number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        ranged = ranged.withColumn(position, number)
+    return materialise(ranged, "ranges")
+
+
 def ordered_columns(
     df: DataFrame,
     keys: list[str],
@@ -36,14 +58,27 @@ def ordered_columns(
     lags: dict[str, tuple[Column, object]] | None = None,
     sums: dict[str, Column] | None = None,
     wholes: dict[str, tuple[Callable[[str], Column], Column]] | None = None,
+    most_rows: int | None = MOST_ROWS,
 ) -> DataFrame:
     """Add previous values, running sums and whole-key aggregates, in ascending `order` (NULLs first).
 
     `lags` maps a new column to (value, default for a key's first row), `sums` a new column to the
     summed value, `wholes` a new column to (`F.min`, `F.max` or `F.sum`, value) over all rows of the
-    key. `chunk` must not decrease along `order` within a key. `df` is read twice, the first time
-    for the summaries: pass a scan or a written table, not a costly plan.
+    key. `chunk` must not decrease along `order` within a key. `df` is read again for the summaries:
+    pass a scan or a written table, not a costly plan.
+
+    The largest (key, chunk) is counted first. If it has more than `most_rows` rows, as when a
+    great many copies share one instant, the table is cut into even ranges instead; the results
+    are the same. `None` leaves the count out, for chunks that are known to be small.
     """
+    if most_rows is not None:
+        sizes = df.groupBy(*keys, chunk.alias(CHUNK)).agg(F.count("*").alias("_rows"))
+        if (sizes.agg(F.max("_rows")).first()[0] or 0) > most_rows:
+            ranged = in_ranges(df, [*keys, *order], "_range")
+            return ordered_columns(
+                ranged, keys, [*order, "_place"], F.col("_range"), lags, sums, wholes, None
+            ).drop("_range", "_place")
+
     lags, sums, wholes = lags or {}, sums or {}, wholes or {}
     rows = df.select(
         "*",
@@ -89,19 +124,6 @@ def ordered_columns(
     )
 
 
-def with_bounds(
-    df: DataFrame,
-    keys: list[str],
-    column: str,
-    chunk: Column,
-    first: str = "first",
-    last: str = "last",
-) -> DataFrame:
-    """Add the smallest and largest `column` of the row's key to every row."""
-    bounds = {first: (F.min, F.col(column)), last: (F.max, F.col(column))}
-    return ordered_columns(df, keys, [column], chunk, wholes=bounds)
-
-
 def pick_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of every key in `order`.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chargetrail.functions import epoch_seconds, positive_flag
 from chargetrail.operators.ordered import CHUNK, CHUNK_SECONDS, ordered_columns, time_chunk
+from chargetrail.session import materialise
 
 
 def with_boundaries(
@@ -46,7 +47,7 @@ def idle_islands(
     """
     bounded = with_boundaries(df, key, ts, value, tie, chunk_seconds)
     numbered = ordered_columns(
-        bounded,
+        materialise(bounded, "boundaries"),
         [key],
         [ts, tie or value],
         time_chunk(ts, chunk_seconds),
@@ -68,40 +69,57 @@ def parking_time(
     """Hours of idle runs per key, two decimals; keys without an idle sample have no row.
 
     A run lasts from its first to its last idle sample, so it is the sum of the gaps between
-    neighbouring samples that are both idle. Gaps add up, so each (key, time chunk) is reduced to
-    its inner gaps, first and last sample, and the chunks of a key are joined in a second, small
-    step. No task holds a whole key's samples, and the islands need no numbering.
+    neighbouring samples that are both idle. Gaps add up, so no island has to be numbered and no
+    task holds a whole key: samples of one instant are combined before the first shuffle (copies
+    vanish there), each (key, time chunk) is reduced to its inner gaps and its two ends, and the
+    few chunks of a key are joined at the end.
     """
-    samples = df.select(
-        key,
-        time_chunk(ts, chunk_seconds).alias(CHUNK),
-        F.col(ts).alias("_ts"),
-        F.col(tie or value).alias("_tie"),
-        epoch_seconds(ts).alias("_seconds"),
-        (1 - positive_flag(value)).alias("_idle"),
+    idle = 1 - positive_flag(value)
+    if tie is None:
+        # In the order of the values, the idle samples of an instant come first.
+        first_idle, last_idle = F.max(idle), F.min(idle)
+    else:
+        order = F.struct(tie)
+        first_idle, last_idle = F.min_by(idle, order), F.max_by(idle, order)
+    samples = (
+        df.groupBy(key, F.col(ts).alias("_ts"))
+        .agg(
+            first_idle.alias("_first_idle"),
+            last_idle.alias("_last_idle"),
+            F.max(idle).alias("_any_idle"),
+        )
+        .select(
+            key,
+            time_chunk("_ts", chunk_seconds).alias(CHUNK),
+            "_ts",
+            epoch_seconds("_ts").alias("_seconds"),
+            "_first_idle",
+            "_last_idle",
+            "_any_idle",
+        )
     )
 
     def gap(seconds: Column, idle: Column, seconds_before: Column, idle_before: Column) -> Column:
         return F.when((idle == 1) & (idle_before == 1), seconds - seconds_before).otherwise(0)
 
-    seconds, idle = F.col("_seconds"), F.col("_idle")
-    within = Window.partitionBy(key, CHUNK).orderBy("_ts", "_tie")
-    idle_before, idle_after = F.lag(idle).over(within), F.lead(idle).over(within)
+    within = Window.partitionBy(key, CHUNK).orderBy("_ts")
+    idle_before, idle_after = F.lag("_last_idle").over(within), F.lead("_first_idle").over(within)
+    inner = gap(F.col("_seconds"), F.col("_first_idle"), F.lag("_seconds").over(within), idle_before)
     # Plain numbers only, so that the chunks are aggregated by hash.
     chunks = (
         samples.select(
             key,
             CHUNK,
             "_seconds",
-            "_idle",
-            gap(seconds, idle, F.lag(seconds).over(within), idle_before).alias("_gap"),
-            F.when(idle_before.isNull(), idle).alias("_first_idle"),
-            F.when(idle_after.isNull(), idle).alias("_last_idle"),
+            "_any_idle",
+            inner.alias("_gap"),
+            F.when(idle_before.isNull(), F.col("_first_idle")).alias("_first_idle"),
+            F.when(idle_after.isNull(), F.col("_last_idle")).alias("_last_idle"),
         )
         .groupBy(key, CHUNK)
         .agg(
             F.sum("_gap").alias("_inner"),
-            F.max("_idle").alias("_any_idle"),
+            F.max("_any_idle").alias("_any_idle"),
             F.min("_seconds").alias("_from"),
             F.max("_seconds").alias("_to"),
             F.max("_first_idle").alias("_first_idle"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chargetrail.operators.joins import salted_left_join
+from chargetrail.operators.joins import attach_per_group
 from chargetrail.operators.ordered import ordered_columns
 from chargetrail.session import materialise
 
@@ -50,17 +50,6 @@ def _ranked_value(p: float) -> Column:
     return low + (high - low) * part
 
 
-def _attach(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """Add the columns of `right`, which has one row per group; NULL groups match too."""
-    added = [name for name in right.columns if name not in by]
-    if not by:
-        return left.withColumns({name: right.select(name).scalar() for name in added})
-    group = F.struct(*by)
-    return salted_left_join(
-        left.withColumn("_group", group), right.select(group.alias("_group"), *added), "_group"
-    ).drop("_group")
-
-
 def distribution(df: DataFrame, value: str, by: list[str] | None = None, digits: int = 4) -> DataFrame:
     """Per group: n, mean, min, quartiles, max, box-plot fences and how many values lie outside.
 
@@ -85,6 +74,7 @@ def distribution(df: DataFrame, value: str, by: list[str] | None = None, digits:
         F.col("_range"),
         sums={"_upto": F.col("_n")},
         wholes={"_total": (F.sum, F.col("_n"))},
+        most_rows=None,
     )
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     summary = ranked.groupBy(*by).agg(
@@ -101,11 +91,11 @@ def distribution(df: DataFrame, value: str, by: list[str] | None = None, digits:
     )
     outside = (F.col("_value") < F.col("lower_fence")) | (F.col("_value") > F.col("upper_fence"))
     outliers = (
-        _attach(ranged, summary.select(*by, "lower_fence", "upper_fence"), by)
+        attach_per_group(ranged, summary.select(*by, "lower_fence", "upper_fence"), by)
         .groupBy(*by)
         .agg(F.coalesce(F.sum(F.when(outside, F.col("_n"))), F.lit(0)).alias("outliers"))
     )
     rounded = ["mean", "min", "q1", "median", "q3", "max", "lower_fence", "upper_fence"]
-    return _attach(summary, outliers, by).select(
+    return attach_per_group(summary, outliers, by).select(
         *by, "n", *[F.round(name, digits).alias(name) for name in rounded], "outliers"
     )

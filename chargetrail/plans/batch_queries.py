@@ -15,7 +15,12 @@ from chargetrail.functions import (
     rounded_double,
     table_name,
 )
-from chargetrail.operators.joins import attach_parking, attach_starts, started_transactions, with_totals
+from chargetrail.operators.joins import (
+    attach_parking,
+    attach_starts,
+    started_transactions,
+    with_bounds,
+)
 from chargetrail.operators.messages import flatten_struct, import_power, meter_samples, of_class, silver, unpack_json
 from chargetrail.operators.ordered import (
     distinct_keys as sorted_keys,
@@ -24,7 +29,6 @@ from chargetrail.operators.ordered import (
     ordered_columns,
     time_chunk,
     top_latest,
-    with_bounds,
 )
 from chargetrail.operators.parking import idle_islands, parking_time as idle_hours, with_boundaries
 from chargetrail.operators.stats import (
@@ -58,7 +62,6 @@ from chargetrail.sources import (
     read_last_minute,
     read_parquet,
     read_table,
-    with_row_index,
 )
 
 WIDE = tuple(message.wide_ids() for message in SILVER_CLASSES)
@@ -217,7 +220,7 @@ def message_class_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_log(spark, sf_dir).transform(of_class, "purchase", 2)
 
 
-@query("SELECT event_id, value FROM events WHERE event_type = 'view' AND value > 30")
+@query("SELECT event_id, value FROM events WHERE event_type = 'view' AND (value > 30 OR value IS NULL)")
 def null_phase_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     phase = F.when(F.col("value") <= 30, F.lit("L1"))
     measurand = F.when(F.col("event_type") == "view", F.lit("Power.Active.Import")).otherwise("Voltage")
@@ -493,7 +496,7 @@ def tumbling_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH q AS (
-           SELECT event_type, count(*) AS n, avg(value) AS mean, min(value) AS min, max(value) AS max,
+           SELECT event_type, count(value) AS n, avg(value) AS mean, min(value) AS min, max(value) AS max,
                   quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
                   quantile_cont(value, 0.75) AS q3 FROM events GROUP BY event_type),
        f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q),
@@ -511,7 +514,8 @@ def distribution_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT event_type, floor(value / 10) * 10 AS bin, count(*) AS n FROM events GROUP BY 1, 2"""
+    """SELECT event_type, floor(value / 10) * 10 AS bin, count(*) AS n
+       FROM events WHERE value IS NOT NULL GROUP BY 1, 2"""
 )
 def histogram_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     bins = table(spark, sf_dir, "events").transform(histogram, "value", 10.0, ["event_type"])
@@ -576,7 +580,7 @@ def running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def partition_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = event_samples(spark, sf_dir)
-    bounded = with_bounds(samples, ["transaction_id"], "timestamp", time_chunk("timestamp"))
+    bounded = with_bounds(samples, ["transaction_id"], "timestamp")
     return bounded.select(
         "transaction_id", "event_id", epoch_seconds("first").alias("first"), epoch_seconds("last").alias("last")
     )

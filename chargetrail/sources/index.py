@@ -5,35 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chargetrail.session import materialise
+from chargetrail.operators.ordered import in_ranges
 
-_ROW_BITS = 33  # monotonically_increasing_id holds the row number within its task in the low 33 bits
-_ROW_MASK = (1 << _ROW_BITS) - 1
 
-
-def with_row_index(df: DataFrame, order: list[str], name: str = "index") -> DataFrame:
-    """Add `name`: 0..n-1 in the ascending order of `order`, which must be unique per row.
+def with_row_index(df: DataFrame, order: list[str] | tuple[str, ...] = (), name: str = "index") -> DataFrame:
+    """Add `name`: 0..n-1 in the ascending order of `order`; equal rows keep their input order.
 
     The rows are sorted by ranges, one range per task, and written once. The index is then the
     task's offset plus the position in the task; only one count per task meets in one place.
     """
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
+    ranged = in_ranges(
+        df, list(order), "_part", position="_position"
     )
-    placed = materialise(placed, "row-index")
-    part = F.shiftright("_place", _ROW_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy(part.alias("_part"))
+        ranged.groupBy("_part")
         .agg(F.count("*").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     # One row per task of the sort: at most spark.sql.shuffle.partitions rows.
     return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + F.col("_place").bitwiseAND(F.lit(_ROW_MASK)))
-        .drop("_part", "_offset", "_place")
+        ranged.join(F.broadcast(offsets), "_part")
+        .withColumn(name, F.col("_offset") + F.col("_position"))
+        .drop("_part", "_offset", "_position", "_place")
     )

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from chargetrail.operators.ordered import (
     distinct_keys,
     drop_repeated_messages,
+    in_ranges,
     latest_per_key,
     ordered_columns,
     time_chunk,
     top_latest,
-    with_bounds,
 )
+from chargetrail.operators.joins import with_bounds
 from chargetrail.operators.parking import idle_islands, parking_time, with_boundaries
 from chargetrail.sources import with_row_index
 from conftest import plan_text, rows
@@ -78,12 +79,31 @@ def test_ordered_columns_shuffle_rows_once(spark, folder):
     assert "Join" not in plan
 
 
-@pytest.mark.parametrize("width", [1, 600, 10**6])
-def test_bounds(spark, width):
+def test_ranges_replace_chunks_that_are_too_large(spark):
+    """A third of all rows are copies of one row; no range may hold them all."""
+    copies = [(1, 50, -1, 2.0)] * 200
+    data = [(k, s, i, v) for k, s, i, v in skewed_samples(9, 400)] + copies
+    df = frame(spark, data)
+    sums = {"so_far": F.lit(1)}
+    wanted = ordered_columns(df, ["k"], ["ts", "id"], time_chunk("ts"), sums=sums)
+    # Adaptive execution would join ranges as small as these again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        ranged = ordered_columns(df, ["k"], ["ts", "id"], time_chunk("ts"), sums=sums, most_rows=100)
+        parts = in_ranges(df, ["k", "ts", "id"], "part")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert ranged.columns == wanted.columns and rows(ranged) == rows(wanted)
+    assert parts.where("id = -1").select("part").distinct().count() > 1
+
+
+def test_bounds(spark):
     data = skewed_samples(5)
-    df = with_bounds(frame(spark, data), ["k"], "id", time_chunk("ts", width))
+    df = with_bounds(frame(spark, data), ["k"], "id")
     groups = by_key(data)
-    for row in df.collect():
+    found = df.collect()
+    assert len(found) == len(data)
+    for row in found:
         ids = [r[2] for r in groups[row.k]]
         assert (row.first, row.last) == (min(ids), max(ids))
 
@@ -154,6 +174,21 @@ def test_drop_repeated_messages(spark):
     assert rows(drop_repeated_messages(later.unionByName(df))) == rows(df.distinct())
 
 
+def test_parking_time_with_default_tie_and_copies(spark):
+    data = [(k, s // 900 * 900, i, v) for k, s, i, v in skewed_samples(11)] * 3
+    got = {r.k: r.total_parking_time for r in parking_time(frame(spark, data), "k", "ts", "v").collect()}
+    by_value = [(k, s, -10.0 if v is None else v, v) for k, s, _, v in data]
+    want = brute_parking(by_value)
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k] / 3600) <= 0.0051 for k in want)
+
+
+def test_row_index_keeps_the_order_of_copies(spark):
+    df = spark.createDataFrame([(1, i) for i in range(300)], "k int, i int").coalesce(1)
+    assert all(r["index"] == r.i for r in with_row_index(df, ["k"]).collect())
+    assert all(r["index"] == r.i for r in with_row_index(df).collect())
+
+
 def test_row_index_is_dense_and_ordered(spark):
     keys = list(range(1000))
     random.Random(1).shuffle(keys)
