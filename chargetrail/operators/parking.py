@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chargetrail.functions import epoch_seconds, positive_flag
 from chargetrail.operators.ordered import CHUNK, CHUNK_SECONDS, ordered_columns, time_chunk
@@ -57,6 +58,16 @@ def idle_islands(
     return numbered.where("charging = 0").groupBy(key, "island").agg(seconds.alias("duration"))
 
 
+def _nulls_lowest(df: DataFrame, name: str) -> Column:
+    """`name` as a sort value that is never NULL; numbers stay plain so that Spark aggregates by hash."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(F.col(name).cast("bigint"), F.lit(-(2**63)))
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.coalesce(F.col(name), F.lit(float("-inf")))
+    return F.struct(name)
+
+
 def parking_time(
     df: DataFrame,
     key: str = "transaction_id",
@@ -79,7 +90,7 @@ def parking_time(
         # In the order of the values, the idle samples of an instant come first.
         first_idle, last_idle = F.max(idle), F.min(idle)
     else:
-        order = F.struct(tie)
+        order = _nulls_lowest(df, tie)
         first_idle, last_idle = F.min_by(idle, order), F.max_by(idle, order)
     samples = (
         df.groupBy(key, F.col(ts).alias("_ts"))

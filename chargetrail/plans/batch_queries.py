@@ -432,11 +432,11 @@ def correlate_request_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     return started.withColumn("start_timestamp", epoch_seconds("start_timestamp"))
 
 
-def _sessions(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = charging_log(spark, sf_dir)
     started = started_transactions(silver(log, WIDE_START_RESPONSE), silver(log, WIDE_START_REQUEST))
     stops = materialise(silver(log, WIDE_STOP_REQUEST), "stops")
-    return stops.transform(attach_starts, started, **options)
+    return stops.transform(attach_starts, materialise(started, "started"))
 
 
 def _epochs(df: DataFrame) -> DataFrame:

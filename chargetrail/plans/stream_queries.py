@@ -9,7 +9,7 @@ from chargetrail.functions import epoch_seconds, parse_timestamp
 from chargetrail.operators.timeslice import DAY, with_date_parts
 from chargetrail.plans.derived_logs import as_event_log, as_status_log, event_log, table
 from chargetrail.plans.registry import query
-from chargetrail.session import work_path
+from chargetrail.session import materialise, work_path
 from chargetrail.sources import read_parquet, with_row_index
 from chargetrail.streaming import (
     append_files,
@@ -121,7 +121,9 @@ def stream_static_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = _table_stream(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("value"), "l_linenumber", "l_quantity"
     )
-    joined = enrich(numbers, log.select("message_id", "action", "index"))
+    # As a written table its size is known, so Spark can tell whether it is small enough to broadcast.
+    static = materialise(log.select("message_id", "action", "index"), "indexed-log")
+    joined = enrich(numbers, static)
     return read_parquet(spark, _append(spark, joined))
 
 

@@ -33,8 +33,9 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the cluster's shared folder (`spark.checkpoint.dir`).
 
-    Only a local master may run without that setting; there a temporary folder is chosen once
-    and kept in the session.
+    Paths are grouped by application, so that the files of finished ones can be removed. Only a
+    local master may run without that setting; there a temporary folder is chosen once and kept in
+    the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -42,7 +43,8 @@ def work_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="chargetrail-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/chargetrail/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/chargetrail/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
