@@ -325,8 +325,11 @@ def explode_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Scalar functions
 
 
-@query("SELECT event_id, epoch_us(ts) AS parsed_us, CAST(NULL AS BIGINT) AS bad_us FROM events")
-def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(
+    "SELECT event_id, epoch_us(ts) AS parsed_us, CAST(NULL AS BIGINT) AS bad_us FROM events",
+    name="parse_timestamp",
+)
+def parsed_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = event_log(spark, sf_dir)
     return log.select(
         F.col("message_id").cast("bigint").alias("event_id"),
@@ -335,7 +338,10 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS write_timestamp_epoch FROM events")
+@query(
+    "SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS write_timestamp_epoch FROM events",
+    name="epoch_seconds",
+)
 def epoch_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", epoch_seconds("ts").alias("write_timestamp_epoch")
@@ -359,7 +365,8 @@ def duration_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""SELECT o_orderkey, {KWH_SQL.format("w")} AS total_energy, CAST(w AS DOUBLE) AS total_energy_wh
-        FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) - o_custkey AS w FROM orders)"""
+        FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) - o_custkey AS w FROM orders)""",
+    name="energy_delta",
 )
 def energy_used(spark: SparkSession, sf_dir: str) -> DataFrame:
     meter_stop = F.round(F.col("o_totalprice") * 100).cast("bigint")
@@ -621,7 +628,7 @@ def parking_time(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM events
        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) = 1"""
 )
-def last_connection_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def last_connection_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_log(spark, sf_dir).transform(jobs.last_connections).select(
         "message_id", "charge_point_id", "action", F.unix_micros("write_timestamp").alias("written_us")
     )
@@ -638,12 +645,12 @@ KWH_USED_SQL = f"CASE WHEN meter_start IS NOT NULL THEN {KWH_SQL.format('(meter_
 
 
 @query(CDR_SQL.format(meters="", energy="CAST(meter_stop - meter_start AS DOUBLE)"))
-def cdr_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def charge_data_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _epochs(jobs.cdr_from_log(charging_log(spark, sf_dir), wide_ids=True))
 
 
 @query(CDR_SQL.format(meters="meter_start, meter_stop, ", energy=KWH_USED_SQL))
-def medallion_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def medallion_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = work_path(spark, "medallion-csv")
     charging_log(spark, sf_dir).write.option("header", True).csv(source)
     return _epochs(jobs.medallion(spark, source, work_path(spark, "medallion"), WIDE))

@@ -13,16 +13,16 @@ QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
 
-def query(check: str | None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with its SQL check."""
+def query(check: str | None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under `name` or its own name, with its SQL check."""
 
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return function(use_utc(spark), sf_dir)
 
-        QUERIES[function.__name__] = run
+        QUERIES[name or function.__name__] = run
         if check is not None:
-            CHECKS[function.__name__] = check
+            CHECKS[name or function.__name__] = check
         return run
 
     return register
