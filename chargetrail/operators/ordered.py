@@ -30,12 +30,19 @@ def time_chunk(ts: Column | str, seconds: int = CHUNK_SECONDS) -> Column:
     return at - F.pmod(at, F.lit(seconds))
 
 
+def largest_chunk(df: DataFrame, keys: list[str], chunk: Column) -> int:
+    """Rows of the largest (key, chunk)."""
+    sizes = df.groupBy(*keys, chunk.alias(CHUNK)).agg(F.count("*").alias("_rows"))
+    return sizes.agg(F.max("_rows")).first()[0] or 0
+
+
 def in_ranges(df: DataFrame, order: list[str], chunk: str, position: str | None = None) -> DataFrame:
     """Sort `df` by ranges, one per task, and write it; `chunk` numbers the ranges.
 
     `position` adds the row's number within its range. The column `_place` holds the row's place in
     the input and is the last sort column: it keeps equal rows in their order and lets a large
-    group of copies be cut into several ranges.
+    group of copies be cut into several ranges. Pass a scan or a written table, where places are
+    stable.
     """
     placed = df.withColumn("_place", F.monotonically_increasing_id())
     ranged = (
@@ -71,13 +78,11 @@ def ordered_columns(
     great many copies share one instant, the table is cut into even ranges instead; the results
     are the same. `None` leaves the count out, for chunks that are known to be small.
     """
-    if most_rows is not None:
-        sizes = df.groupBy(*keys, chunk.alias(CHUNK)).agg(F.count("*").alias("_rows"))
-        if (sizes.agg(F.max("_rows")).first()[0] or 0) > most_rows:
-            ranged = in_ranges(df, [*keys, *order], "_range")
-            return ordered_columns(
-                ranged, keys, [*order, "_place"], F.col("_range"), lags, sums, wholes, None
-            ).drop("_range", "_place")
+    if most_rows is not None and largest_chunk(df, keys, chunk) > most_rows:
+        ranged = in_ranges(df, [*keys, *order], "_range")
+        return ordered_columns(
+            ranged, keys, [*order, "_place"], F.col("_range"), lags, sums, wholes, None
+        ).drop("_range", "_place")
 
     lags, sums, wholes = lags or {}, sums or {}, wholes or {}
     rows = df.select(

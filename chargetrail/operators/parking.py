@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chargetrail.functions import epoch_seconds, positive_flag
-from chargetrail.operators.ordered import CHUNK, CHUNK_SECONDS, ordered_columns, time_chunk
+from chargetrail.operators.ordered import (
+    CHUNK,
+    CHUNK_SECONDS,
+    MOST_ROWS,
+    in_ranges,
+    largest_chunk,
+    ordered_columns,
+    time_chunk,
+)
 from chargetrail.session import materialise
 
 
@@ -76,6 +84,7 @@ def parking_time(
     tie: str | None = None,
     name: str = "total_parking_time",
     chunk_seconds: int = CHUNK_SECONDS,
+    most_rows: int | None = MOST_ROWS,
 ) -> DataFrame:
     """Hours of idle runs per key, two decimals; keys without an idle sample have no row.
 
@@ -83,7 +92,8 @@ def parking_time(
     neighbouring samples that are both idle. Gaps add up, so no island has to be numbered and no
     task holds a whole key: samples of one instant are combined before the first shuffle (copies
     vanish there), each (key, time chunk) is reduced to its inner gaps and its two ends, and the
-    few chunks of a key are joined at the end.
+    few chunks of a key are joined at the end. As in `ordered_columns`, even ranges take the place of
+    time chunks if one (key, chunk) has more than `most_rows` rows.
     """
     idle = 1 - positive_flag(value)
     if tie is None:
@@ -99,16 +109,12 @@ def parking_time(
             last_idle.alias("_last_idle"),
             F.max(idle).alias("_any_idle"),
         )
-        .select(
-            key,
-            time_chunk("_ts", chunk_seconds).alias(CHUNK),
-            "_ts",
-            epoch_seconds("_ts").alias("_seconds"),
-            "_first_idle",
-            "_last_idle",
-            "_any_idle",
-        )
+        .withColumn("_seconds", epoch_seconds("_ts"))
     )
+    if most_rows is not None and largest_chunk(df, [key], time_chunk(ts, chunk_seconds)) > most_rows:
+        samples = in_ranges(materialise(samples, "instants"), [key, "_ts"], CHUNK)
+    else:
+        samples = samples.withColumn(CHUNK, time_chunk("_ts", chunk_seconds))
 
     def gap(seconds: Column, idle: Column, seconds_before: Column, idle_before: Column) -> Column:
         return F.when((idle == 1) & (idle_before == 1), seconds - seconds_before).otherwise(0)

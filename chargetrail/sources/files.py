@@ -65,16 +65,8 @@ def read_json_records(
 
 
 def has_delta(spark: SparkSession) -> bool:
-    """Whether the Delta data source is on the session's class path."""
-    try:
-        spark._jvm.java.lang.Class.forName(
-            "io.delta.sql.DeltaSparkSessionExtension",
-            False,
-            spark._jvm.java.lang.Thread.currentThread().getContextClassLoader(),
-        )
-    except Exception:
-        return False
-    return True
+    """Whether the session was set up for Delta tables."""
+    return "io.delta" in spark.conf.get("spark.sql.extensions", "")
 
 
 def read_table(

@@ -12,11 +12,10 @@ def with_row_index(df: DataFrame, order: list[str] | tuple[str, ...] = (), name:
     """Add `name`: 0..n-1 in the ascending order of `order`; equal rows keep their input order.
 
     The rows are sorted by ranges, one range per task, and written once. The index is then the
-    task's offset plus the position in the task; only one count per task meets in one place.
+    task's offset plus the position in the task; only one count per task meets in one place. `df`
+    should be a scan or a written table.
     """
-    ranged = in_ranges(
-        df, list(order), "_part", position="_position"
-    )
+    ranged = in_ranges(df, list(order), "_part", position="_position")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_part")

@@ -130,6 +130,8 @@ def test_parking_time_matches_brute_force(spark, width, seed):
     want = brute_parking(data)
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k] / 3600) <= 0.0051 for k in want)
+    ranged = parking_time(df, "k", "ts", "v", "id", chunk_seconds=width, most_rows=1)
+    assert {r.k: r.total_parking_time for r in ranged.collect()} == got
     islands = idle_islands(df, "k", "ts", "v", "id", chunk_seconds=width)
     totals = {r.k: r.s for r in islands.groupBy("k").agg(F.sum("duration").alias("s")).collect()}
     assert totals == want
