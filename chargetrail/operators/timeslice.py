@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargetrail.functions import date_part_columns
+from chargetrail.functions import date_part_columns, parse_timestamp
 
 DAY = ("year", "month", "day")
 MINUTE = ("year", "month", "day", "hour", "minute")
@@ -18,12 +18,25 @@ def with_date_parts(df: DataFrame, ts: str = "write_timestamp", parts: tuple[str
     return df.withColumns(date_part_columns(F.col(ts), parts))
 
 
-def time_slice(df: DataFrame, when: datetime, parts: tuple[str, ...] = MINUTE) -> DataFrame:
+def time_slice(
+    df: DataFrame, when: datetime, parts: tuple[str, ...] = MINUTE, ts: str = "write_timestamp"
+) -> DataFrame:
     """Rows whose part columns equal those of `when` (UTC).
 
-    The filter names the columns themselves, so it prunes the folders of a partitioned table.
+    The filter names the columns themselves, so it prunes the folders of a partitioned table. A
+    table without such columns is filtered by a range of `ts` instead, which a Parquet scan can use
+    to skip row groups where `ts` is a timestamp.
     """
+    if not set(parts) <= set(df.columns):
+        return minute_of(df, when, ts)
     matches = F.lit(True)
     for part in parts:
         matches = matches & (F.col(part) == getattr(when, part))
     return df.where(matches)
+
+
+def minute_of(df: DataFrame, when: datetime, ts: str = "write_timestamp") -> DataFrame:
+    """Rows written in the minute of `when` (UTC)."""
+    begin = when.replace(second=0, microsecond=0, tzinfo=timezone.utc)
+    written = parse_timestamp(ts) if dict(df.dtypes)[ts] == "string" else F.col(ts)
+    return df.where((written >= F.lit(begin)) & (written < F.lit(begin + timedelta(minutes=1))))

@@ -57,7 +57,8 @@ def read_json_records(
     """JSON records, one per line (`lines`) or one array per file (`array`).
 
     An array file is parsed by one task, so prefer lines, or many files, for large logs.
-    `index_by` adds a dense 0..n row index in the order of these columns.
+    `index_by` adds a dense 0..n row index in the order of these columns; an empty list keeps the
+    order of the files.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.option("multiLine", layout == "array").json(path)

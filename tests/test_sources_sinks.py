@@ -117,6 +117,15 @@ def test_time_slices_prune_folders(spark, folder):
     assert all(f"{p}#" in filters for p in ("year", "month", "day"))
 
 
+def test_time_slice_without_part_columns(spark, folder):
+    when = datetime(2022, 1, 1, 8, 2, 59)
+    assert [r.message_id for r in log(spark).transform(time_slice, when).collect()] == ["m2"]
+    log(spark).selectExpr("message_id", "timestamp(write_timestamp) AS write_timestamp").write.parquet(folder + "/t")
+    stamped = read_parquet(spark, folder + "/t").transform(time_slice, when)
+    assert [r.message_id for r in stamped.collect()] == ["m2"]
+    assert "GreaterThanOrEqual(write_timestamp" in plan_text(stamped)
+
+
 def test_catalog(spark, folder):
     assert sanitised_name("a-b_c 1!") == "abc1"
     before = spark.catalog.currentDatabase()
