@@ -76,6 +76,25 @@ def _nulls_lowest(df: DataFrame, name: str) -> Column:
     return F.struct(name)
 
 
+def _instants(df: DataFrame, key: str, ts: str, idle: Column, tie: str | None) -> DataFrame:
+    """One row per key and instant: whether its first, its last and any of its samples is idle."""
+    if tie is None:
+        # In the order of the values, the idle samples of an instant come first.
+        first_idle, last_idle = F.max(idle), F.min(idle)
+    else:
+        order = _nulls_lowest(df, tie)
+        first_idle, last_idle = F.min_by(idle, order), F.max_by(idle, order)
+    return (
+        df.groupBy(key, F.col(ts).alias("_ts"))
+        .agg(
+            first_idle.alias("_first_idle"),
+            last_idle.alias("_last_idle"),
+            F.max(idle).alias("_any_idle"),
+        )
+        .withColumn("_tie", F.lit(0))
+    )
+
+
 def parking_time(
     df: DataFrame,
     key: str = "transaction_id",
@@ -90,36 +109,32 @@ def parking_time(
 
     A run lasts from its first to its last idle sample, so it is the sum of the gaps between
     neighbouring samples that are both idle. Gaps add up, so no island has to be numbered and no
-    task holds a whole key: samples of one instant are combined before the first shuffle (copies
-    vanish there), each (key, time chunk) is reduced to its inner gaps and its two ends, and the
-    few chunks of a key are joined at the end. As in `ordered_columns`, even ranges take the place of
-    time chunks if one (key, chunk) has more than `most_rows` rows.
+    task holds a whole key: each (key, time chunk) is reduced to its inner gaps and its two ends,
+    and the few chunks of a key are joined at the end.
+
+    The largest (key, chunk) is counted first. If it has more than `most_rows` rows, the samples of
+    an instant are combined before they are shuffled (copies vanish there) and the instants are cut
+    into even ranges instead. `df` is read twice: pass a scan or a written table.
     """
     idle = 1 - positive_flag(value)
-    if tie is None:
-        # In the order of the values, the idle samples of an instant come first.
-        first_idle, last_idle = F.max(idle), F.min(idle)
-    else:
-        order = _nulls_lowest(df, tie)
-        first_idle, last_idle = F.min_by(idle, order), F.max_by(idle, order)
-    samples = (
-        df.groupBy(key, F.col(ts).alias("_ts"))
-        .agg(
-            first_idle.alias("_first_idle"),
-            last_idle.alias("_last_idle"),
-            F.max(idle).alias("_any_idle"),
-        )
-        .withColumn("_seconds", epoch_seconds("_ts"))
-    )
     if most_rows is not None and largest_chunk(df, [key], time_chunk(ts, chunk_seconds)) > most_rows:
-        samples = in_ranges(materialise(samples, "instants"), [key, "_ts"], CHUNK)
+        samples = in_ranges(materialise(_instants(df, key, ts, idle, tie), "instants"), [key, "_ts"], CHUNK)
     else:
-        samples = samples.withColumn(CHUNK, time_chunk("_ts", chunk_seconds))
+        samples = df.select(
+            key,
+            F.col(ts).alias("_ts"),
+            F.col(tie or value).alias("_tie"),
+            idle.alias("_first_idle"),
+            idle.alias("_last_idle"),
+            idle.alias("_any_idle"),
+            time_chunk(ts, chunk_seconds).alias(CHUNK),
+        )
+    samples = samples.withColumn("_seconds", epoch_seconds("_ts"))
 
     def gap(seconds: Column, idle: Column, seconds_before: Column, idle_before: Column) -> Column:
         return F.when((idle == 1) & (idle_before == 1), seconds - seconds_before).otherwise(0)
 
-    within = Window.partitionBy(key, CHUNK).orderBy("_ts")
+    within = Window.partitionBy(key, CHUNK).orderBy("_ts", "_tie")
     idle_before, idle_after = F.lag("_last_idle").over(within), F.lead("_first_idle").over(within)
     inner = gap(F.col("_seconds"), F.col("_first_idle"), F.lag("_seconds").over(within), idle_before)
     # Plain numbers only, so that the chunks are aggregated by hash.

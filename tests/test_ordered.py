@@ -178,7 +178,10 @@ def test_drop_repeated_messages(spark):
 
 def test_parking_time_with_default_tie_and_copies(spark):
     data = [(k, s // 900 * 900, i, v) for k, s, i, v in skewed_samples(11)] * 3
-    got = {r.k: r.total_parking_time for r in parking_time(frame(spark, data), "k", "ts", "v").collect()}
+    df = frame(spark, data)
+    got = {r.k: r.total_parking_time for r in parking_time(df, "k", "ts", "v").collect()}
+    ranged = parking_time(df, "k", "ts", "v", most_rows=1)
+    assert {r.k: r.total_parking_time for r in ranged.collect()} == got
     by_value = [(k, s, -10.0 if v is None else v, v) for k, s, _, v in data]
     want = brute_parking(by_value)
     assert got.keys() == want.keys()

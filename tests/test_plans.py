@@ -83,7 +83,7 @@ def test_parking_time_aggregates_by_hash(spark, folder):
     for tie in (None, "tie"):
         plan = plan_text(parking_time(spark.read.parquet(folder + "/p"), tie=tie))
         assert "SortAggregate" not in plan and "Python" not in plan
-        assert plan.count("Exchange") == 3
+        assert plan.count("Exchange") == 2
 
 
 def test_latest_is_limited_before_the_shuffle(spark, folder):
