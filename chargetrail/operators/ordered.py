@@ -17,25 +17,42 @@ from chargetrail.session import materialise
 
 CHUNK = "_chunk"
 _IS_ROW = "_is_row"
-CHUNK_SECONDS = 600
+CHUNK_SECONDS = (21_600, 600)
 MOST_ROWS = 20_000_000
 
 
-def time_chunk(ts: Column | str, seconds: int = CHUNK_SECONDS) -> Column:
-    """Start of the stretch of `seconds` that `ts` falls in; any width gives the same results.
-
-    A narrower stretch bounds the rows per task more tightly, a wider one makes fewer summaries.
-    """
+def time_chunk(ts: Column | str, seconds: int) -> Column:
+    """Start of the stretch of `seconds` that `ts` falls in; any width gives the same results."""
     at = epoch_seconds(ts)
     return at - F.pmod(at, F.lit(seconds))
 
 
+def time_chunks(ts: Column | str, seconds: int | tuple[int, ...] = CHUNK_SECONDS) -> list[Column]:
+    """Time chunks of several widths, widest first: wide ones make few summaries, narrow ones bound
+    the rows of a busy key more tightly."""
+    widths = (seconds,) if isinstance(seconds, int) else seconds
+    return [time_chunk(ts, width) for width in widths]
+
+
 def largest_chunk(df: DataFrame, keys: list[str], chunk: Column) -> int:
     """Rows of the largest (key, chunk)."""
     sizes = df.groupBy(*keys, chunk.alias(CHUNK)).agg(F.count("*").alias("_rows"))
     return sizes.agg(F.max("_rows")).first()[0] or 0
 
 
+def fitting_chunk(
+    df: DataFrame, keys: list[str], chunks: list[Column], most_rows: int | None
+) -> Column | None:
+    """The first of `chunks` with at most `most_rows` rows in every (key, chunk), if there is one.
+
+    Only keys and chunks are read and counted, combined before the shuffle.
+    """
+    for chunk in chunks:
+        if most_rows is None or largest_chunk(df, keys, chunk) <= most_rows:
+            return chunk
+    return None
+
+
 def in_ranges(df: DataFrame, order: list[str], chunk: str, position: str | None = None) -> DataFrame:
     """Sort `df` by ranges, one per task, and write it; `chunk` numbers the ranges.
 
@@ -61,7 +78,7 @@ def ordered_columns(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    chunk: Column,
+    chunks: list[Column],
     lags: dict[str, tuple[Column, object]] | None = None,
     sums: dict[str, Column] | None = None,
     wholes: dict[str, tuple[Callable[[str], Column], Column]] | None = None,
@@ -71,17 +88,18 @@ def ordered_columns(
 
     `lags` maps a new column to (value, default for a key's first row), `sums` a new column to the
     summed value, `wholes` a new column to (`F.min`, `F.max` or `F.sum`, value) over all rows of the
-    key. `chunk` must not decrease along `order` within a key. `df` is read again for the summaries:
-    pass a scan or a written table, not a costly plan.
+    key. `df` is read again for the summaries: pass a scan or a written table, not a costly plan.
 
-    The largest (key, chunk) is counted first. If it has more than `most_rows` rows, as when a
-    great many copies share one instant, the table is cut into even ranges instead; the results
-    are the same. `None` leaves the count out, for chunks that are known to be small.
+    `chunks` are the ways to cut a key's rows, in order of preference (`time_chunks`); none may
+    decrease along `order`. The largest (key, chunk) is counted first. If all have more than
+    `most_rows` rows somewhere, as when a great many copies share one instant, the table is cut into
+    even ranges instead; the results are the same. `most_rows=None` takes the first without a count.
     """
-    if most_rows is not None and largest_chunk(df, keys, chunk) > most_rows:
+    chunk = fitting_chunk(df, keys, chunks, most_rows)
+    if chunk is None:
         ranged = in_ranges(df, [*keys, *order], "_range")
         return ordered_columns(
-            ranged, keys, [*order, "_place"], F.col("_range"), lags, sums, wholes, None
+            ranged, keys, [*order, "_place"], [F.col("_range")], lags, sums, wholes, None
         ).drop("_range", "_place")
 
     lags, sums, wholes = lags or {}, sums or {}, wholes or {}

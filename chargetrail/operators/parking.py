@@ -11,10 +11,10 @@ from chargetrail.operators.ordered import (
     CHUNK,
     CHUNK_SECONDS,
     MOST_ROWS,
+    fitting_chunk,
     in_ranges,
-    largest_chunk,
     ordered_columns,
-    time_chunk,
+    time_chunks,
 )
 from chargetrail.session import materialise
 
@@ -25,7 +25,7 @@ def with_boundaries(
     ts: str = "timestamp",
     value: str = "value",
     tie: str | None = None,
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_seconds: int | tuple[int, ...] = CHUNK_SECONDS,
 ) -> DataFrame:
     """Add `charging` (1 or 0) and `boundary`, 1 where charging differs from the sample before.
 
@@ -36,7 +36,7 @@ def with_boundaries(
         flagged,
         [key],
         [ts, tie or value],
-        time_chunk(ts, chunk_seconds),
+        time_chunks(ts, chunk_seconds),
         lags={"_previous": (F.col("charging"), 0)},
     )
     return previous.withColumn("boundary", F.abs(F.col("charging") - F.col("_previous"))).drop("_previous")
@@ -48,7 +48,7 @@ def idle_islands(
     ts: str = "timestamp",
     value: str = "value",
     tie: str | None = None,
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_seconds: int | tuple[int, ...] = CHUNK_SECONDS,
 ) -> DataFrame:
     """One row per run of idle samples: key, island number, seconds from first to last sample.
 
@@ -59,7 +59,7 @@ def idle_islands(
         materialise(bounded, "boundaries"),
         [key],
         [ts, tie or value],
-        time_chunk(ts, chunk_seconds),
+        time_chunks(ts, chunk_seconds),
         sums={"island": F.col("boundary")},
     )
     seconds = epoch_seconds(F.max(ts)) - epoch_seconds(F.min(ts))
@@ -102,7 +102,7 @@ def parking_time(
     value: str = "value",
     tie: str | None = None,
     name: str = "total_parking_time",
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_seconds: int | tuple[int, ...] = CHUNK_SECONDS,
     most_rows: int | None = MOST_ROWS,
 ) -> DataFrame:
     """Hours of idle runs per key, two decimals; keys without an idle sample have no row.
@@ -112,12 +112,14 @@ def parking_time(
     task holds a whole key: each (key, time chunk) is reduced to its inner gaps and its two ends,
     and the few chunks of a key are joined at the end.
 
-    The largest (key, chunk) is counted first. If it has more than `most_rows` rows, the samples of
-    an instant are combined before they are shuffled (copies vanish there) and the instants are cut
-    into even ranges instead. `df` is read twice: pass a scan or a written table.
+    The largest (key, chunk) is counted first, for each width in `chunk_seconds` until one fits. If
+    all have more than `most_rows` rows, the samples of an instant are combined before they are
+    shuffled (copies vanish there) and the instants are cut into even ranges instead. `df` is read
+    again for the counts: pass a scan or a written table.
     """
     idle = 1 - positive_flag(value)
-    if most_rows is not None and largest_chunk(df, [key], time_chunk(ts, chunk_seconds)) > most_rows:
+    chunk = fitting_chunk(df, [key], time_chunks(ts, chunk_seconds), most_rows)
+    if chunk is None:
         samples = in_ranges(materialise(_instants(df, key, ts, idle, tie), "instants"), [key, "_ts"], CHUNK)
     else:
         samples = df.select(
@@ -127,7 +129,7 @@ def parking_time(
             idle.alias("_first_idle"),
             idle.alias("_last_idle"),
             idle.alias("_any_idle"),
-            time_chunk(ts, chunk_seconds).alias(CHUNK),
+            chunk.alias(CHUNK),
         )
     samples = samples.withColumn("_seconds", epoch_seconds("_ts"))
 

@@ -71,7 +71,7 @@ def distribution(df: DataFrame, value: str, by: list[str] | None = None, digits:
         ranged,
         by,
         ["_value"],
-        F.col("_range"),
+        [F.col("_range")],
         sums={"_upto": F.col("_n")},
         wholes={"_total": (F.sum, F.col("_n"))},
         most_rows=None,

@@ -27,7 +27,7 @@ from chargetrail.operators.ordered import (
     drop_repeated_messages,
     latest_per_key as latest_rows,
     ordered_columns,
-    time_chunk,
+    time_chunks,
     top_latest,
 )
 from chargetrail.operators.parking import idle_islands, parking_time as idle_hours, with_boundaries
@@ -574,7 +574,7 @@ def running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
         samples,
         ["transaction_id"],
         ["timestamp", "event_id"],
-        time_chunk("timestamp"),
+        time_chunks("timestamp"),
         sums={"so_far": F.col("charging")},
     )
     return summed.select("transaction_id", "event_id", "so_far")

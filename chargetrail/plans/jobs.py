@@ -60,7 +60,7 @@ def gold_cdr(
     power: DataFrame,
     unit: str = "kwh",
     keep_left_key: bool = False,
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_seconds: int | tuple[int, ...] = CHUNK_SECONDS,
 ) -> DataFrame:
     """One wide charge data record per stopped transaction.
 
@@ -81,7 +81,7 @@ def cdr_from_log(
     unit: str = "wh",
     wide_ids: bool = False,
     keep_left_key: bool = False,
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_seconds: int | tuple[int, ...] = CHUNK_SECONDS,
 ) -> DataFrame:
     """Charge data records straight from an event log in a columnar table.
 

@@ -11,6 +11,7 @@ from chargetrail.operators.ordered import (
     latest_per_key,
     ordered_columns,
     time_chunk,
+    time_chunks,
     top_latest,
 )
 from chargetrail.operators.joins import with_bounds
@@ -53,7 +54,7 @@ def test_lag_sum_and_wholes_match_brute_force(spark, width):
         frame(spark, data),
         ["k"],
         ["ts", "id"],
-        time_chunk("ts", width),
+        [time_chunk("ts", width)],
         lags={"before": (F.col("v"), -9.0)},
         sums={"so_far": F.col("v"), "nth": F.lit(1)},
         wholes={"top": (F.max, F.col("id"))},
@@ -72,7 +73,7 @@ def test_lag_sum_and_wholes_match_brute_force(spark, width):
 def test_ordered_columns_shuffle_rows_once(spark, folder):
     frame(spark, skewed_samples(1)).write.parquet(folder + "/s")
     df = spark.read.parquet(folder + "/s")
-    summed = ordered_columns(df, ["k"], ["ts", "id"], time_chunk("ts"), sums={"s": F.col("v")})
+    summed = ordered_columns(df, ["k"], ["ts", "id"], time_chunks("ts"), sums={"s": F.col("v")})
     plan = plan_text(summed)
     # one for the rows with the carries, two for the summaries
     assert plan.count("Exchange hashpartitioning") == 3
@@ -85,11 +86,11 @@ def test_ranges_replace_chunks_that_are_too_large(spark):
     data = [(k, s, i, v) for k, s, i, v in skewed_samples(9, 400)] + copies
     df = frame(spark, data)
     sums = {"so_far": F.lit(1)}
-    wanted = ordered_columns(df, ["k"], ["ts", "id"], time_chunk("ts"), sums=sums)
+    wanted = ordered_columns(df, ["k"], ["ts", "id"], time_chunks("ts"), sums=sums)
     # Adaptive execution would join ranges as small as these again.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
-        ranged = ordered_columns(df, ["k"], ["ts", "id"], time_chunk("ts"), sums=sums, most_rows=100)
+        ranged = ordered_columns(df, ["k"], ["ts", "id"], time_chunks("ts"), sums=sums, most_rows=100)
         parts = in_ranges(df, ["k", "ts", "id"], "part")
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -132,6 +133,8 @@ def test_parking_time_matches_brute_force(spark, width, seed):
     assert all(abs(got[k] - want[k] / 3600) <= 0.0051 for k in want)
     ranged = parking_time(df, "k", "ts", "v", "id", chunk_seconds=width, most_rows=1)
     assert {r.k: r.total_parking_time for r in ranged.collect()} == got
+    narrow = parking_time(df, "k", "ts", "v", "id", chunk_seconds=(10**7, 1), most_rows=20)
+    assert {r.k: r.total_parking_time for r in narrow.collect()} == got
     islands = idle_islands(df, "k", "ts", "v", "id", chunk_seconds=width)
     totals = {r.k: r.s for r in islands.groupBy("k").agg(F.sum("duration").alias("s")).collect()}
     assert totals == want
