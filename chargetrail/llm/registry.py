@@ -13,11 +13,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
+#: Rows that a Python task holds at once; small, as texts may be very long.
+ROWS_PER_BATCH = 500
+
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with UTC times and this package on its Python workers' path."""
+    """The session with UTC times, small Arrow batches and this package on its Python workers' path."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     return use_utc(spark)
 
 
