@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,20 @@ MASK = np.uint32(255)
 _BYTES = numbers(256, 3).astype(np.uint32)
 
 
+_MARK_AFTER_LETTER = re.compile(rb"(?<=[a-z])(?=[,.](?: |$))")
+
+
+def plain_form(data: bytes) -> bytes:
+    """A text with the same tokens and fewer different words: A-Z in lower case, line ends as spaces, and a space
+    between a letter and the comma or full stop that ends a word. The tokenizer does or ignores all of that.
+
+    A text that may name special tokens, which are matched before that, is left as it is.
+    """
+    if b"<|" in data:
+        return data
+    return _MARK_AFTER_LETTER.sub(b" ", data.lower().replace(b"\n", b" "))
+
+
 def chunk_ends(data: np.ndarray) -> np.ndarray:
     """Places after which a chunk ends. They depend on the `REACH` bytes before them alone, so a passage is cut alike
     in every document, whatever precedes it; a UTF-8 character is never cut."""
@@ -44,7 +59,7 @@ class Chunk:
         head, *rest = data.split(b" ")
         self.head = head
         self.tail = rest.pop() if rest else None
-        self.middle = [word.decode() for word in rest]
+        self.middle = rest
         self.ids = self.decoded = b""
 
 
@@ -58,7 +73,7 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """Ids (little-endian unsigned 32-bit) and decoded text of each text."""
-        encoded = [(text or "").encode() for text in texts]
+        encoded = [plain_form((text or "").encode()) for text in texts]
         if self.held > MOST_BYTES:
             self.chunks, self.held = {}, 0
         cut, fresh = [], []
@@ -80,9 +95,7 @@ class ChunkEncoder:
         # over several chunks if need be, where the ids on both sides agree with those of the whole text: the
         # pre-tokenizer never lets a token hold or cross a space.
         joins = [_joins(row) for row in cut]
-        needed = {word for chunk in fresh for word in chunk.middle}
-        needed.update(word for row in joins for word in row)
-        self.words.learn(needed)
+        self.words.learn(set().union(*[chunk.middle for chunk in fresh], *joins))
         ids, texts_of = self.words.ids, self.words.texts
         for chunk in fresh:
             chunk.ids = b"".join([ids[word] for word in chunk.middle])
@@ -99,15 +112,15 @@ class ChunkEncoder:
         ]
 
 
-def _joins(row: list[Chunk]) -> list[str]:
+def _joins(row: list[Chunk]) -> list[bytes]:
     """The words at the joins of a text's chunks, its first and last word included."""
     out, pending = [], b""
     for chunk in row:
         pending += chunk.head
         if chunk.tail is not None:
-            out.append(pending.decode())
+            out.append(pending)
             pending = chunk.tail
-    out.append(pending.decode())
+    out.append(pending)
     return out
 
 
@@ -124,7 +137,7 @@ def shared_encoder(spec: str) -> ChunkEncoder:
     """One encoder per Python worker, so its tasks share chunks."""
     if spec not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[spec] = ChunkEncoder(shared_pieces(spec, decoded=True))
+        _ENCODERS[spec] = ChunkEncoder(shared_pieces(spec, " ", decoded=True))
     return _ENCODERS[spec]
 
 
@@ -134,9 +147,10 @@ def encode_and_decode(
     """Per row of `docs`: id, `n_tokens`, and `ids` (binary, little-endian unsigned 32-bit) with `decoded`, or with
     `digests` their SHA-256 as `ids_sha256` and `decoded_sha256`.
 
-    `spec` is the tokenizer's JSON. It must cut at spaces and keep them out of tokens, without added tokens that hold
-    a space. NULL and empty texts have no tokens. Nothing is shuffled: chunks are shared among the documents that a
-    Python worker sees. Repeated rows give equal results; other columns are ignored.
+    `spec` is the JSON of a lower-casing tokenizer that cuts at white space and around punctuation, drops the spaces,
+    and has no added tokens but such as begin with `<|`. NULL and empty texts have no tokens. Nothing is shuffled:
+    chunks are shared among the documents that a Python worker sees. Repeated rows give equal results; other columns
+    are ignored.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

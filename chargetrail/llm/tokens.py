@@ -12,8 +12,10 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for
 
 from tokenizers import Tokenizer  # noqa: E402
 
-MOST_PIECES = 300_000
-MOST_BYTES = 48 << 20
+#: Bounds of a worker's memo: entries of each of its two generations, and of what one step may add.
+MOST_PIECES = 250_000
+MOST_BYTES = 24 << 20
+LINE = 64
 
 #: A space that is followed by another space or by anything that some library takes for one, or ends the text.
 _UNSAFE = re.compile("[ ](?:$|[\\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿])")
@@ -52,39 +54,63 @@ def before_spaces(text: str) -> list[str]:
 
 
 class Pieces:
-    """Ids of pieces of text (and what they decode to), encoded once while they fit the bound.
+    """Ids of pieces of text (and what they decode to), encoded once while they are remembered.
 
-    When the memo is full it starts anew; results don't depend on it.
+    The memo has two generations: when the newer is full it becomes the older one, and what is used again moves back.
+    Results don't depend on it. `joiner` may stand between pieces: the tokenizer cuts before each piece then.
     """
 
-    def __init__(self, spec: str, decoded: bool = False):
-        self.tokenizer, self.decoded = load(spec), decoded
-        self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, bytes] = {}
+    def __init__(self, spec: str, joiner: str = "", decoded: bool = False):
+        self.tokenizer, self.joiner, self.decoded = load(spec), joiner, decoded
+        self.ids: dict[str | bytes, bytes] = {}
+        self.texts: dict[str | bytes, bytes] = {}
+        self.older: tuple[dict, dict] = ({}, {})
         self.held = 0
 
-    def learn(self, pieces: Iterable[str]) -> None:
-        """Afterwards `ids` (and `texts`) have all of `pieces`."""
-        needed = set(pieces)
-        if len(self.ids) + len(needed) > MOST_PIECES or self.held > MOST_BYTES:
-            self.ids, self.texts, self.held = {}, {}, 0
-        missing = [piece for piece in needed if piece not in self.ids]
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)]
-        self.ids.update(zip(missing, map(id_bytes, encoded)))
-        self.held += sum(map(len, missing)) + 4 * sum(map(len, encoded))
-        if self.decoded:
-            texts = self.tokenizer.decode_batch(encoded, skip_special_tokens=False)
-            self.texts.update((piece, text.encode()) for piece, text in zip(missing, texts))
-            self.held += sum(map(len, texts))
-
-
-_LOADED: dict[tuple[str, bool], Pieces] = {}
-
-
-def shared_pieces(spec: str, decoded: bool = False) -> Pieces:
+    def learn(self, pieces: Iterable[str | bytes]) -> None:
+        """Afterwards `ids` (and `texts`) have all of `pieces`, which are all text or all UTF-8."""
+        if len(self.ids) > MOST_PIECES or self.held > MOST_BYTES:
+            self.older, self.ids, self.texts, self.held = (self.ids, self.texts), {}, {}, 0
+        ids, texts = self.older
+        missing = []
+        for piece in set(pieces).difference(self.ids):
+            if piece in ids:
+                self.ids[piece] = ids[piece]
+                if self.decoded:
+                    self.texts[piece] = texts[piece]
+            else:
+                missing.append(piece)
+        self._encode({p.decode() if isinstance(p, bytes) else p: p for p in missing})
+
+    def _encode(self, missing: dict[str, str | bytes]) -> None:
+        """Encode pieces in lines of several, and cut the ids where a piece ends; the values are the memo's keys."""
+        alone = [[p] for p in missing if not (self.joiner or p.startswith(" "))]
+        rest = [p for p in missing if self.joiner or p.startswith(" ")]
+        lines = alone + [rest[i : i + LINE] for i in range(0, len(rest), LINE)]
+        encoded = self.tokenizer.encode_batch([self.joiner.join(line) for line in lines], add_special_tokens=False)
+        for line, result in zip(lines, encoded):
+            data = id_bytes(result.ids)
+            if len(line) == 1:
+                cuts = [0, len(result)]
+            else:
+                piece_ends = np.cumsum([len(piece) + len(self.joiner) for piece in line]) - len(self.joiner)
+                token_ends = np.fromiter((end for _, end in result.offsets), np.int64, len(result))
+                cuts = [0, *np.searchsorted(token_ends, piece_ends, side="right").tolist()]
+            tokens = result.tokens if self.decoded else ()
+            for piece, a, b in zip(line, cuts, cuts[1:]):
+                self.ids[missing[piece]] = data[4 * a : 4 * b]
+                if self.decoded:
+                    self.texts[missing[piece]] = " ".join(tokens[a:b]).encode()
+            self.held += 8 * len(data) + sum(map(len, line))
+
+
+_LOADED: dict[tuple[str, str, bool], Pieces] = {}
+
+
+def shared_pieces(spec: str, joiner: str = "", decoded: bool = False) -> Pieces:
     """One memo per Python worker, so tasks that follow each other share it."""
-    key = (spec, decoded)
+    key = (spec, joiner, decoded)
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Pieces(spec, decoded)
+        _LOADED[key] = Pieces(spec, joiner, decoded)
     return _LOADED[key]
