@@ -1,4 +1,4 @@
 """All registered queries of the subpackage."""
 
-from chargetrail.llm import chunked_bpe, exact_dedup, mixing, near_dedup, quality, token_files, toxicity  # noqa: F401
+from chargetrail.llm import chunked_bpe, exact_dedup, mixing, near_dedup, passages, quality, token_files, toxicity  # noqa: F401
 from chargetrail.llm.registry import CHECKS, QUERIES  # noqa: F401
