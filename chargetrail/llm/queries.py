@@ -1,4 +1,14 @@
 """All registered queries of the subpackage."""
 
-from chargetrail.llm import chunked_bpe, exact_dedup, mixing, near_dedup, passages, quality, token_files, toxicity  # noqa: F401
+from chargetrail.llm import (  # noqa: F401
+    chunked_bpe,
+    exact_dedup,
+    forest,
+    mixing,
+    near_dedup,
+    passages,
+    quality,
+    token_files,
+    toxicity,
+)
 from chargetrail.llm.registry import CHECKS, QUERIES  # noqa: F401
