@@ -83,32 +83,45 @@ def mix_sources(
     target 0 and no copies; a NULL source is a source; a NULL text has size 0; rows that repeat an id are each
     counted, and drawn alike. An empty table gives an empty result.
     """
-    sized = materialise(
-        docs.select(
-            F.col(id_col).alias("_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
-        ),
-        "sizes",
-    )
-    targets = materialise(
-        source_targets(sized, weights, share, cap).withColumnRenamed("source", "_source"), "targets"
-    )
-    whole = F.floor("rate")
-    extra = (draw("_id", seed) < F.col("rate") - whole).cast("long")
+    sized, targets = _sized(docs, id_col, text_col, source_col, weights, share, cap)
     return sized.join(targets, F.col("source").eqNullSafe(F.col("_source"))).select(
-        F.col("_id").alias(id_col), "size", "source_size", "target", (whole + extra).cast("long").alias("copies")
+        F.col("_id").alias(id_col), "size", "source_size", "target", _copies("_id", seed).alias("copies")
     )
 
 
-def emit_mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def _sized(docs, id_col, text_col, source_col, weights, share, cap) -> tuple[DataFrame, DataFrame]:
+    """(`_id`, `source`, `size`) of every row, and the written table of targets with `_source`."""
+    size = word_count(F.col(text_col)).alias("size")
+    sized = materialise(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), size), "sizes")
+    targets = source_targets(sized, weights, share, cap).withColumnRenamed("source", "_source")
+    return sized, materialise(targets, "targets")
+
+
+def _copies(id_col: str | Column, seed: str, rate: str = "rate") -> Column:
+    whole = F.floor(rate)
+    return (whole + (draw(id_col, seed) < F.col(rate) - whole).cast("long")).cast("long")
+
+
+def emit_mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    cap: int = CAP,
+    seed: str = SEED,
+) -> DataFrame:
     """The mix itself: every row of `docs` as often as `mix_sources` says, with all columns of `docs`.
 
-    Rows that repeat an id are joined once per id, so each is taken as often as the id is drawn.
+    Texts are joined with the small table of sources only, so that Spark need not shuffle them.
     """
-    counts = mix_sources(docs, id_col, **options).where("copies > 0")
-    counts = counts.groupBy(F.col(id_col).alias("_id")).agg(F.first("copies").alias("_copies"))
-    counts = materialise(counts, "copies")
-    joined = docs.join(counts, docs[id_col].eqNullSafe(counts["_id"]))
-    taken = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    _, targets = _sized(docs, id_col, text_col, source_col, weights, share, cap)
+    rates = targets.select(F.col("_source").alias("_mix_source"), F.col("rate").alias("_mix_rate"))
+    joined = docs.join(rates, docs[source_col].eqNullSafe(rates["_mix_source"]))
+    copies = _copies(docs[id_col], seed, "_mix_rate").cast("int")
+    taken = joined.withColumn("_mix_copies", copies).where("_mix_copies > 0")
+    taken = taken.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
     return taken.select(*[docs[c] for c in docs.columns])
 
 

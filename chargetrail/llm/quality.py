@@ -131,6 +131,19 @@ def score_quality(docs: DataFrame, model: CompressionModel, id_col: str = "doc_i
     return rows.mapInArrow(score, f"_id {kind}, score double").withColumnRenamed("_id", id_col)
 
 
+def keep_good(docs: DataFrame, model: CompressionModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of `docs` whose text scores at least `least`, with all columns and without a shuffle."""
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = model.scorer()
+        for batch in batches:
+            x = np.array([sizes.difference(text.as_py()) for text in batch.column(place)], dtype=float)
+            yield batch.filter(pa.array(model.scores(x) >= least))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 @query()
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
