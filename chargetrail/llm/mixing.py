@@ -23,7 +23,8 @@ def word_count(text: str | Column) -> Column:
 
 def draw(id_col: str | Column, seed: str = SEED) -> Column:
     """A number in [0, 1) that depends on the seed and the id alone: 52 bits of their MD5."""
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+    own = F.col(id_col) if isinstance(id_col, str) else id_col
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(own.cast("string"), F.lit("null")))
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
