@@ -149,12 +149,12 @@ def _links(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame | No
 
     A posting list is never multiplied with itself. First every node is compared with one leader of its list, which
     joins most of a large group of copies into one component; then with leaders drawn anew, for nodes outside the
-    leader's component, as long as that links anything. What is left are the pairs between different components of a
+    leader's component, while that links at least a tenth of the pairs it compares. What is left are the pairs between different components of a
     list: of these, every node outside the list's largest component is compared with all nodes of other components.
     A pair within one component needs no comparison, so no link between components is lost.
     """
     kind = postings.schema["node"].dataType.simpleString()
-    tested = None
+    tested, worth = None, True
     stars = postings.sparkSession.createDataFrame([], f"node {kind}, component {kind}")
     draw = 0
     while True:
@@ -168,7 +168,7 @@ def _links(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame | No
         lists = materialise(lists.where("low != high").select("token", "leader"), "lists")
         pairs = labelled.join(lists, "token").where(F.col("component") != F.col("leader.component"))
         pairs = _ordered(pairs, F.col("node"), F.col("leader.node"))
-        last = draw > 0 and links.isEmpty()
+        last = not worth
         if last:
             pairs = _across(labelled.join(lists.select("token"), "token", "left_semi"))
         pairs = pairs.distinct()
@@ -176,11 +176,13 @@ def _links(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame | No
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         links = materialise(_confirmed(pairs, sets, percent), "links")
-        if not links.isEmpty():
+        linked = links.count()
+        if linked:
             known = stars.select(F.col("node").alias("a"), F.col("component").alias("b"))
             stars = connected_components(known.unionByName(links))
         if last:
             return stars
+        worth = 10 * linked >= pairs.count() > 0
         tested = pairs if tested is None else tested.unionByName(pairs)
         draw += 1
 
