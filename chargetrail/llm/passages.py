@@ -19,7 +19,7 @@ from chargetrail.session import materialise
 
 WINDOW = 13
 #: Text that a task gathers before it deals out window hashes, so that each shard gets few large rows of them.
-GATHERED = 24 << 20
+GATHERED = 12 << 20
 _LAST = np.iinfo(np.int64).max
 _PRIME, _FACTOR = 2_147_483_647, 1_103_515_245
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
@@ -187,12 +187,12 @@ def repeated_passages(
     2. Documents are dealt to as many buckets. Each bucket gets its recurring windows, compiles their passages into an
        Aho-Corasick automaton, and runs all its documents through it.
 
-    There are `spark.sql.shuffle.partitions` shards and buckets: set it so that a shard, some 2 * input / partitions,
-    fits a task. Texts with fewer words lose nothing, and NULL has no words. A NULL id counts as larger than all
+    There are twice `spark.sql.shuffle.partitions` shards and buckets: set it so that a bucket, its texts and about as
+    much again, fits a task. Texts with fewer words lose nothing, and NULL has no words. A NULL id counts as larger than all
     others; rows that repeat an id are one document and don't remove each other's words. Ids are integers. Other
     columns are ignored; an empty table gives no rows.
     """
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     lists = materialise(_recurring(_deal_windows(rows, window, shards), shards), "recurring")
 
