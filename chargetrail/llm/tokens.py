@@ -13,8 +13,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for
 from tokenizers import Tokenizer  # noqa: E402
 
 #: Bounds of a worker's memo: entries of each of its two generations, and of what one step may add.
-MOST_PIECES = 250_000
-MOST_BYTES = 24 << 20
+MOST_PIECES = 500_000
+MOST_BYTES = 48 << 20
 LINE = 64
 
 #: A space that is followed by another space or by anything that some library takes for one, or ends the text.
@@ -66,6 +66,9 @@ class Pieces:
         self.texts: dict[str | bytes, bytes] = {}
         self.older: tuple[dict, dict] = ({}, {})
         self.held = 0
+        #: Which ids begin with a space, in the byte alphabet of byte-level tokenizers.
+        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.spaced = np.array([(name or "").startswith("\u0120") for name in names])
 
     def learn(self, pieces: Iterable[str | bytes]) -> None:
         """Afterwards `ids` (and `texts`) have all of `pieces`, which are all text or all UTF-8."""
@@ -84,24 +87,27 @@ class Pieces:
 
     def _encode(self, missing: dict[str, str | bytes]) -> None:
         """Encode pieces in lines of several, and cut the ids where a piece ends; the values are the memo's keys."""
-        alone = [[p] for p in missing if not (self.joiner or p.startswith(" "))]
-        rest = [p for p in missing if self.joiner or p.startswith(" ")]
+        alone = [[p] for p in missing if not (self.joiner or p.startswith(" ") and " " not in p[1:])]
+        rest = [p for p in missing if self.joiner or p.startswith(" ") and " " not in p[1:]]
         lines = alone + [rest[i : i + LINE] for i in range(0, len(rest), LINE)]
-        encoded = self.tokenizer.encode_batch([self.joiner.join(line) for line in lines], add_special_tokens=False)
-        for line, result in zip(lines, encoded):
-            data = id_bytes(result.ids)
+        # Offsets are costly; pieces with their only space in front can be told by it.
+        encode = self.tokenizer.encode_batch if self.joiner else self.tokenizer.encode_batch_fast
+        for line, result in zip(lines, encode([self.joiner.join(line) for line in lines], add_special_tokens=False)):
+            ids = np.asarray(result.ids, dtype="<u4")
             if len(line) == 1:
-                cuts = [0, len(result)]
-            else:
+                cuts = [0, len(ids)]
+            elif self.joiner:
                 piece_ends = np.cumsum([len(piece) + len(self.joiner) for piece in line]) - len(self.joiner)
-                token_ends = np.fromiter((end for _, end in result.offsets), np.int64, len(result))
+                token_ends = np.fromiter((end for _, end in result.offsets), np.int64, len(ids))
                 cuts = [0, *np.searchsorted(token_ends, piece_ends, side="right").tolist()]
-            tokens = result.tokens if self.decoded else ()
+            else:
+                cuts = [*np.flatnonzero(self.spaced[ids]).tolist(), len(ids)]
+            data, tokens = ids.tobytes(), result.tokens if self.decoded else ()
             for piece, a, b in zip(line, cuts, cuts[1:]):
                 self.ids[missing[piece]] = data[4 * a : 4 * b]
                 if self.decoded:
                     self.texts[missing[piece]] = " ".join(tokens[a:b]).encode()
-            self.held += 8 * len(data) + sum(map(len, line))
+            self.held += 8 * len(ids) + sum(map(len, line))
 
 
 _LOADED: dict[tuple[str, str, bool], Pieces] = {}
