@@ -72,10 +72,13 @@ def _repeated(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the rows that `exact_groups` does not keep, with all columns."""
+    """`docs` without the rows that `exact_groups` does not keep, with all columns.
+
+    Rows with a NULL id can't be told apart by it, so they are all left.
+    """
     dropped = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_dropped"))
-    dropped = materialise(dropped.distinct(), "dropped")
-    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["_dropped"]), "left_anti")
+    dropped = materialise(dropped.where("_dropped IS NOT NULL").distinct(), "dropped")
+    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
 
 
 @query(

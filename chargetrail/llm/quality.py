@@ -110,6 +110,8 @@ def train_quality(
 
     schema = "bad binary, good binary, slope double, intercept double"
     row = sample.repartition(1).mapInPandas(fit_sample, schema).first()
+    if row is None:  # no labelled text, so no task
+        return fit([], np.zeros(0, dtype=int), counts)
     return CompressionModel(bytes(row["bad"]), bytes(row["good"]), row["slope"], row["intercept"])
 
 

@@ -223,6 +223,8 @@ def train_toxicity(
         yield pd.DataFrame([{"keys": model.keys.tobytes(), "weights": model.weights.tobytes(), "intercept": model.intercept}])
 
     row = sample.repartition(1).mapInPandas(fit_sample, "keys binary, weights binary, intercept double").first()
+    if row is None:  # no labelled text, so no task
+        return fit([], np.zeros(0, dtype=int), counts)
     return ToxicityModel(np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["weights"], float), row["intercept"])
 
 
