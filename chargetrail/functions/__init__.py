@@ -5,6 +5,7 @@ from chargetrail.functions.scalar import (
     energy_delta,
     epoch_seconds,
     hours_between,
+    instant,
     parse_timestamp,
     positive_flag,
     rounded_double,
@@ -16,6 +17,7 @@ __all__ = [
     "energy_delta",
     "epoch_seconds",
     "hours_between",
+    "instant",
     "parse_timestamp",
     "positive_flag",
     "rounded_double",

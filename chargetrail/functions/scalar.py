@@ -25,6 +25,11 @@ def parse_timestamp(text: Column | str) -> Column:
     return F.try_to_timestamp(_col(text))
 
 
+def instant(ts: Column | str) -> Column:
+    """A timestamp, or the instant of a timestamp text; text that does not parse gives NULL."""
+    return _col(ts).try_cast("timestamp")
+
+
 def epoch_seconds(ts: Column | str) -> Column:
     """Whole seconds since 1970 (rounded down)."""
     return F.unix_seconds(_col(ts).cast("timestamp"))
@@ -53,8 +58,8 @@ def positive_flag(value: Column | str) -> Column:
 
 
 def date_part_columns(ts: Column | str, parts: list[str] | tuple[str, ...] = tuple(DATE_PARTS)) -> dict[str, Column]:
-    """Named date parts of `ts`, for `withColumns`."""
-    return {part: DATE_PARTS[part](_col(ts)) for part in parts}
+    """Named date parts of `ts`, for `withColumns`; text that is no timestamp gives NULLs."""
+    return {part: DATE_PARTS[part](instant(ts)) for part in parts}
 
 
 def table_name(action: Column | str = "action", message_type: Column | str = "message_type") -> Column:

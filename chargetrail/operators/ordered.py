@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chargetrail.functions import epoch_seconds
+from chargetrail.functions import epoch_seconds, instant
 from chargetrail.session import materialise
 
 CHUNK = "_chunk"
@@ -159,13 +159,14 @@ def pick_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
 def latest_per_key(
     df: DataFrame, key: str = "charge_point_id", ts: str = "write_timestamp", tie: str = "message_id"
 ) -> DataFrame:
-    """Each key's most recent row; at equal times the one with the larger `tie`."""
-    return pick_per_key(df, [key], [F.col(ts).desc(), F.col(tie).desc()])
+    """Each key's most recent row by instant, whatever the offsets of time texts; at equal times the one with the larger
+    `tie`. Times that do not parse are older than all others."""
+    return pick_per_key(df, [key], [instant(ts).desc(), F.col(tie).desc()])
 
 
 def top_latest(df: DataFrame, n: int, ts: str = "write_timestamp", tie: str = "message_id") -> DataFrame:
-    """The `n` most recent rows."""
-    return df.orderBy(F.col(ts).desc(), F.col(tie)).limit(n)
+    """The `n` most recent rows by instant; times that do not parse come last."""
+    return df.orderBy(instant(ts).desc(), F.col(tie)).limit(n)
 
 
 def distinct_keys(df: DataFrame, key: str = "charge_point_id") -> DataFrame:
@@ -176,5 +177,5 @@ def distinct_keys(df: DataFrame, key: str = "charge_point_id") -> DataFrame:
 def drop_repeated_messages(
     df: DataFrame, key: str = "message_id", ts: str = "write_timestamp", ties: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row per message id, the earliest written."""
-    return pick_per_key(df, [key], [F.col(ts), *[F.col(tie) for tie in ties]])
+    """One row per message id, the earliest written by instant; times that do not parse count as latest."""
+    return pick_per_key(df, [key], [instant(ts).asc_nulls_last(), *[F.col(tie) for tie in ties]])

@@ -21,22 +21,27 @@ def with_date_parts(df: DataFrame, ts: str = "write_timestamp", parts: tuple[str
 def time_slice(
     df: DataFrame, when: datetime, parts: tuple[str, ...] = MINUTE, ts: str = "write_timestamp"
 ) -> DataFrame:
-    """Rows whose part columns equal those of `when` (UTC).
+    """Rows of the year, month, day, hour or minute of `when` (UTC), whichever is the last of `parts`.
 
-    The filter names the columns themselves, so it prunes the folders of a partitioned table. A
-    table without such columns is filtered by a range of `ts` instead, which a Parquet scan can use
-    to skip row groups where `ts` is a timestamp.
+    Part columns that the table has are compared by name, which prunes folders. If some are missing, a range of `ts`
+    does the rest, which a Parquet scan can use to skip row groups where `ts` is a timestamp.
     """
-    if not set(parts) <= set(df.columns):
-        return minute_of(df, when, ts)
     matches = F.lit(True)
     for part in parts:
-        matches = matches & (F.col(part) == getattr(when, part))
+        if part in df.columns:
+            matches = matches & (F.col(part) == getattr(when, part))
+    if not set(parts) <= set(df.columns):
+        begin, end = _bounds(when, parts[-1])
+        written = parse_timestamp(ts) if dict(df.dtypes)[ts] == "string" else F.col(ts)
+        matches = matches & (written >= F.lit(begin)) & (written < F.lit(end))
     return df.where(matches)
 
 
-def minute_of(df: DataFrame, when: datetime, ts: str = "write_timestamp") -> DataFrame:
-    """Rows written in the minute of `when` (UTC)."""
-    begin = when.replace(second=0, microsecond=0, tzinfo=timezone.utc)
-    written = parse_timestamp(ts) if dict(df.dtypes)[ts] == "string" else F.col(ts)
-    return df.where((written >= F.lit(begin)) & (written < F.lit(begin + timedelta(minutes=1))))
+def _bounds(when: datetime, part: str) -> tuple[datetime, datetime]:
+    """Begin and end (exclusive) of the `part` that `when` falls in."""
+    given = [getattr(when, name) for name in MINUTE[: MINUTE.index(part) + 1]]
+    begin = datetime(*(given + [1, 1])[: max(3, len(given))], tzinfo=timezone.utc)
+    if part in ("year", "month"):
+        months = begin.year * 12 + begin.month - 1 + (12 if part == "year" else 1)
+        return begin, begin.replace(year=months // 12, month=months % 12 + 1)
+    return begin, begin + timedelta(**{f"{part}s": 1})

@@ -13,7 +13,7 @@ from chargetrail.session import materialise, work_path
 from chargetrail.sources import read_parquet, with_row_index
 from chargetrail.streaming import (
     append_files,
-    drop_repeats,
+    append_first,
     enrich,
     file_stream,
     latest_view,
@@ -103,10 +103,11 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     inbox = work_path(spark, "inbox")
     events = table(spark, sf_dir, "events")
-    events.unionByName(events).write.parquet(inbox)
-    log = as_event_log(file_stream(spark, inbox, events.schema))
-    once = drop_repeats(log.withColumn("write_timestamp", parse_timestamp("write_timestamp")))
-    return read_parquet(spark, _append(spark, once)).select("message_id", "action", "body")
+    events.unionByName(events).repartition(4).write.parquet(inbox)  # four batches, in no order of time
+    log = as_event_log(file_stream(spark, inbox, events.schema, files_per_batch=1))
+    path = work_path(spark, "once")
+    run_to_end(append_first(log, path, work_path(spark, "progress")))
+    return read_parquet(spark, path).select("message_id", "action", "body")
 
 
 @query(

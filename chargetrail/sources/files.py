@@ -73,18 +73,26 @@ def has_delta(spark: SparkSession) -> bool:
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | str | None = None
 ) -> DataFrame:
-    """Partitioned lake table; filters on its partition columns prune folders."""
+    """Partitioned lake table; filters on its partition columns prune folders.
+
+    Without a schema Spark guesses the types of partition columns, which turns a key such as "0012" into a number: give
+    the schema, with partition columns, where keys are text. An empty text is written as NULL and read as NULL.
+    """
     reader = spark.read.format(fmt)
     if schema is not None and fmt != "delta":
         reader = reader.schema(schema)
     return reader.load(path)
 
 
-def read_time_slice(spark: SparkSession, path: str, when: datetime, fmt: str = "parquet") -> DataFrame:
+def read_time_slice(
+    spark: SparkSession, path: str, when: datetime, fmt: str = "parquet", schema: StructType | str | None = None
+) -> DataFrame:
     """Rows of one minute of a table with year..minute columns."""
-    return read_table(spark, path, fmt).transform(time_slice, when)
+    return read_table(spark, path, fmt, schema).transform(time_slice, when)
 
 
-def read_last_minute(spark: SparkSession, path: str, now: datetime, fmt: str = "parquet") -> DataFrame:
+def read_last_minute(
+    spark: SparkSession, path: str, now: datetime, fmt: str = "parquet", schema: StructType | str | None = None
+) -> DataFrame:
     """Rows of the minute before `now` (UTC)."""
-    return read_time_slice(spark, path, now - timedelta(minutes=1), fmt)
+    return read_time_slice(spark, path, now - timedelta(minutes=1), fmt, schema)

@@ -1,13 +1,13 @@
 """Structured Streaming jobs."""
 
 from chargetrail.streaming.run import rocksdb_state, run_to_end, stop_all
-from chargetrail.streaming.sinks import append_files, latest_view, upsert_log
+from chargetrail.streaming.sinks import append_files, append_first, latest_view, upsert_log
 from chargetrail.streaming.sources import enrich, file_stream, rate_stream, replay
-from chargetrail.streaming.status import drop_repeats, status_events, windowed_status_counts
+from chargetrail.streaming.status import status_events, windowed_status_counts
 
 __all__ = [
     "append_files",
-    "drop_repeats",
+    "append_first",
     "enrich",
     "file_stream",
     "latest_view",

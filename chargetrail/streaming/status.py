@@ -36,9 +36,3 @@ def windowed_status_counts(
     """Counts per key, status and window; rows of windows closed by the watermark are dropped."""
     return events.withWatermark(ts, lateness).transform(status_counts, key, status, ts, width, name)
 
-
-def drop_repeats(
-    events: DataFrame, key: str = "message_id", ts: str = "write_timestamp", within: str = "10 minutes"
-) -> DataFrame:
-    """First arrival of every message id, as long as its copies come `within` this time of it."""
-    return events.withWatermark(ts, within).dropDuplicatesWithinWatermark([key])

@@ -203,3 +203,14 @@ def test_row_index_is_dense_and_ordered(spark):
     df = spark.createDataFrame([(k * 3,) for k in keys], "k int").repartition(7)
     got = sorted((r["index"], r.k) for r in with_row_index(df, ["k"]).collect())
     assert got == [(i, i * 3) for i in range(1000)]
+
+
+def test_order_is_by_instant_not_by_text(spark):
+    df = spark.createDataFrame(
+        [("cp", "m1", "2022-01-01T09:30:00+02:00"), ("cp", "m2", "2022-01-01T08:00:00+00:00"), ("cp", "m0", "xx")],
+        "charge_point_id string, message_id string, write_timestamp string",
+    )
+    assert [r.message_id for r in latest_per_key(df).collect()] == ["m2"]
+    assert [r.message_id for r in top_latest(df, 3).collect()] == ["m2", "m1", "m0"]
+    first = drop_repeated_messages(df, "charge_point_id")
+    assert [r.message_id for r in first.collect()] == ["m1"]

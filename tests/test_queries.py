@@ -1,11 +1,12 @@
-"""Every registered query on the smallest tables, against its SQL check in DuckDB."""
+"""Every query of the event-log library on the smallest tables, against its SQL check in DuckDB."""
 
 import math
 import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from chargetrail.plans.registry import CHECKS, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -37,11 +38,11 @@ def in_name_order(columns, data):
 TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, tables, name):
     df = queries()[name](spark, SF_DIR)
     got = in_name_order(df.columns, df.collect())
-    check = tables.sql(oracle_sql()[name])
+    check = tables.sql(CHECKS[name])
     assert got == in_name_order(check.columns, check.fetchall())
     assert {c: TYPES[t] for c, t in df.dtypes} == dict(zip(check.columns, map(str, check.types)))
 

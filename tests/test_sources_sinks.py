@@ -155,3 +155,15 @@ def test_spread(spark):
 
 def test_delta_is_optional(spark):
     assert not has_delta(spark)
+
+
+def test_a_day_is_a_day_whatever_columns_there_are(spark):
+    from chargetrail.operators.timeslice import DAY, with_date_parts
+
+    times = ["2022-01-01T08:00:00+00:00", "2022-01-01T23:59:59+00:00", "2022-01-02T00:00:00+00:00", "xx"]
+    df = spark.createDataFrame([(t,) for t in times], "write_timestamp string")
+    when = datetime(2022, 1, 1, 8, 0)
+    for table in (df, df.transform(with_date_parts, "write_timestamp", DAY), df.transform(with_date_parts, "write_timestamp", ("year",))):
+        assert table.transform(time_slice, when, DAY).count() == 2
+        assert table.transform(time_slice, when).count() == 1
+    assert df.transform(with_date_parts).where("year IS NULL").count() == 1

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chargetrail.operators.stats import status_counts
 from chargetrail.streaming import (
     append_files,
-    drop_repeats,
+    append_first,
     enrich,
     file_stream,
     latest_view,
@@ -77,14 +77,14 @@ def test_restart_goes_on_after_the_checkpoint(spark, folder):
     assert readable(spark.read.parquet(folder + "/out")) == [("cp1", 0, 2), ("cp1", 30, 2)]
 
 
-def test_drop_repeats(spark, folder):
-    events = [("a", 1), ("b", 2), ("a", 1), ("a", 3)]
-    arrive(spark, folder, *events)
-    arrive(spark, folder, *events)
-    stream = file_stream(spark, folder + "/inbox", SCHEMA, files_per_batch=1)
-    once = drop_repeats(stream, "charge_point_id", "timestamp")
-    run_to_end(append_files(once, folder + "/out", folder + "/progress"), timeout=120)
-    assert rows(spark.read.parquet(folder + "/out").select("charge_point_id")) == [("a",), ("b",)]
+@pytest.mark.parametrize("files", [1, None])
+def test_append_first_keeps_late_first_arrivals(spark, folder, files):
+    arrive(spark, folder, ("a", 500), ("b", 501), ("a", 500), ("a", 499))
+    arrive(spark, folder, ("c", 3), ("a", 500), ("c", 4))
+    arrive(spark, folder, ("d", 900), ("b", 501))
+    stream = file_stream(spark, folder + "/inbox", SCHEMA, files_per_batch=files)
+    run_to_end(append_first(stream, folder + "/out", folder + "/progress", "charge_point_id", "timestamp"), timeout=120)
+    assert rows(spark.read.parquet(folder + "/out").select("charge_point_id")) == [("a",), ("b",), ("c",), ("d",)]
 
 
 def test_enrich_and_replay(spark, folder):
