@@ -4,6 +4,7 @@ from chargetrail.llm import (  # noqa: F401
     chunked_bpe,
     exact_dedup,
     forest,
+    lm_score,
     mixing,
     near_dedup,
     passages,

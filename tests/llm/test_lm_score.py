@@ -1,0 +1,40 @@
+import math
+from collections import Counter
+
+import pytest
+
+from chargetrail.llm import lm_score
+from tests.llm.conftest import texts
+
+
+def brute(rows, model_rows):
+    """Mean loss of each text under a pair model with the same smoothing, from plain counts."""
+    split = [[w.lower() for w in (t or "").replace("\t", " ").replace("\n", " ").split(" ") if w] for t in model_rows]
+    ones, twos = Counter(w for s in split for w in s), Counter(p for s in split for p in zip(s, s[1:]))
+    total = sum(ones.values()) + lm_score.ADDED * 2**lm_score.WORD_BITS
+    out = []
+    for t in rows:
+        words = [w.lower() for w in (t or "").replace("\t", " ").replace("\n", " ").split(" ") if w]
+        loss = 0.0
+        for v, w in zip([None, *words], words):
+            p = (ones[w] + lm_score.ADDED) / total
+            if v is not None and ones[v]:
+                p = lm_score.MIXED * twos[v, w] / ones[v] + (1 - lm_score.MIXED) * p
+            loss -= math.log(p)
+        out.append(loss / max(len(words), 1))
+    return out
+
+
+def test_losses_equal_plain_counts(spark, docs, no_docs):
+    plain = [(i, t) for i, t in texts() if i in (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 13)]
+    df = docs.where("doc_id IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 13)")
+    near = ["w1 w2 w3 w4 one two words", "a a a a b", None]
+    target = lm_score.count_model(spark.createDataFrame([(t,) for t in near], "text string"))
+    got = {r["doc_id"]: r for r in lm_score.score_difference(df, target, lm_score.count_model(df)).collect()}
+    for (i, _), a, b in zip(plain, brute([t for _, t in plain], near), brute([t for _, t in plain], [t for _, t in plain])):
+        assert got[i]["target_loss"] == pytest.approx(a, abs=1e-6)
+        assert got[i]["background_loss"] == pytest.approx(b, abs=1e-6)
+        assert got[i]["score"] == pytest.approx(b - a, abs=1e-6)
+    assert lm_score.score_difference(no_docs, target, target).isEmpty()
+    assert lm_score.score_difference(docs, target, lm_score.count_model(docs)).count() == len(texts())
+    assert lm_score.count_model(no_docs).words.sum() == 0
