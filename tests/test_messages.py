@@ -23,8 +23,8 @@ def log(spark, *messages):
 
 
 def test_of_class(spark):
-    df = log(spark, ("bar", 2, {}), ("StopTransaction", 2, {}), ("zebra", 2, {}), ("StopTransaction", 3, {}))
-    assert [r.message_id for r in df.transform(of_class, "StopTransaction", 2).collect()] == ["1"]
+    df = log(spark, ("Heartbeat", 3, {}), ("Heartbeat", 2, {}), ("Reset", 2, {}), ("Heartbeat", 2, {}), ("heartbeat", 2, {}))
+    assert [r.message_id for r in df.transform(of_class, "Heartbeat", 2).collect()] == ["1", "3"]
 
 
 def test_of_class_reaches_the_scan(spark, folder):
