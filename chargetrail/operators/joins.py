@@ -8,63 +8,76 @@ from pyspark.sql import functions as F
 from chargetrail.functions import energy_delta, hours_between
 from chargetrail.schemas import CDR_WIDE_COLUMNS
 
-HOT_SHARE = 1 / 500
-SALTS = 256
-_SALT = "_salt"
+SLICE_ROWS = 1_000_000
+MOST_HOT = 50_000
 
 
 def salted_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str,
-    hot_share: float = HOT_SHARE,
-    salts: int = SALTS,
-    number: Column | None = None,
+    left: DataFrame, right: DataFrame, on: str, right_unique: bool = False, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """`left.join(right, on, "left")` with the rows of frequent left keys spread over many tasks.
-
-    A key is hot when it holds at least `hot_share` of the left rows, so there are at most
-    1 / hot_share hot keys and broadcasting them is safe at any size of the tables. Left rows of a
-    hot key get one of `salts` numbers; the right rows of these few keys are repeated for each.
-    Left rows without a key match nothing and are spread as well. By default the numbers follow the
-    row's place in its task, which is stable when `left` is a scan; after a shuffle give a `number`
-    made from the row's own values. `left` is read twice, the first time for the key counts.
+    """`left.join(right, on, "left")` in which no frequent key of either side meets in one task.
+
+    A key is hot when a side has more than `slice_rows` rows of it. Its rows are cut into as many slices on either side
+    as their measured number asks for, and every left slice meets every right slice in a task of its own: left rows are
+    repeated once per right slice, right rows once per left slice. So there are at most 1 / `slice_rows` copies per
+    joined row, and one per row. Left rows without a key match nothing and pass by the join without a shuffle.
+
+    The hot keys are broadcast. With more than `slice_rows` * `MOST_HOT` rows the slices grow, so that each side has at
+    most `MOST_HOT` hot keys. Keys are counted first, combined before the shuffle; `right_unique` says that `right` has
+    one row per key and need not be counted. Slices follow a row's place in its task, so pass scans or written tables
+    (`right` may be any plan if it is unique).
     """
-    counts = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_rows"))
-    least = left.agg(F.count("*") * F.lit(hot_share)).scalar()
-    hot = F.broadcast(
-        counts.where(F.col("_rows") >= least).select(on, F.lit(True).alias("_hot"))
-    )
-    number = F.monotonically_increasing_id() if number is None else number
-    spread_left = (
-        left.withColumn("_number", F.pmod(number, F.lit(salts)).cast("int"))
-        .join(hot, on, "left")
-        .withColumn(
-            _SALT,
-            F.when(F.col("_hot") | F.col(on).isNull(), F.col("_number")).otherwise(0),
+    keyed = left.where(F.col(on).isNotNull())
+    hot = F.broadcast(_hot_keys(keyed, right, on, right_unique, slice_rows))
+
+    def sliced(df: DataFrame, own: str, other: str) -> DataFrame:
+        counted = df.join(hot, on, "left")
+        slices = F.sequence(F.lit(0), F.col(f"{other}s") - 1)
+        place = F.pmod(F.monotonically_increasing_id(), F.col(f"{own}s")).cast("int")
+        return counted.withColumn(own, F.when(F.col(f"{own}s") > 1, place).otherwise(0)).withColumn(
+            other, F.explode(F.when(F.col(f"{other}s") > 1, slices).otherwise(F.array(F.lit(0))))
         )
-        .drop("_hot", "_number")
-    )
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated_right = (
-        right.join(hot, on, "left")
-        .withColumn(_SALT, F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return spread_left.join(repeated_right, [on, _SALT], "left").drop(_SALT)
+
+    here = sliced(keyed, "_left", "_right").drop("_lefts")
+    there = sliced(right, "_right", "_left").drop("_lefts", "_rights").withColumn("_found", F.lit(True))
+    joined = here.join(there, [on, "_left", "_right"], "left")
+    # A key with several right slices has matches, though perhaps not in each of them.
+    joined = joined.where("coalesce(_rights, 1) = 1 OR _found").drop("_left", "_right", "_rights", "_found")
+    return joined.unionByName(left.where(F.col(on).isNull()), allowMissingColumns=True)
+
+
+def _hot_keys(left: DataFrame, right: DataFrame, on: str, right_unique: bool, slice_rows: int) -> DataFrame:
+    """The hot keys with their numbers of slices, `_lefts` and `_rights`."""
+
+    def rows(df: DataFrame, at_left: int) -> DataFrame:
+        return df.select(on, F.lit(at_left).alias("_at_left"), F.lit(1 - at_left).alias("_at_right"))
+
+    total = left.agg(F.count("*")).scalar()
+    both = rows(left, 1)
+    if not right_unique:
+        total = total + right.agg(F.count("*")).scalar()
+        both = both.unionByName(rows(right.where(F.col(on).isNotNull()), 0))
+    counts = both.groupBy(on).agg(F.sum("_at_left").alias("_lefts"), F.sum("_at_right").alias("_rights"))
+    least = F.greatest(F.lit(float(slice_rows)), total / F.lit(MOST_HOT))
+    counts = counts.where((F.col("_lefts") > least) | (F.col("_rights") > least))
+
+    def slices(name: str) -> Column:
+        return F.greatest(F.ceil(F.col(name) / least), F.lit(1)).cast("int").alias(name)
+
+    return counts.select(on, slices("_lefts"), slices("_rights"))
 
 
 def attach_per_group(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     """Add the columns of `right`, which has one row per group of `by`; NULL groups match too.
 
-    Frequent groups of `left` are spread as in `salted_left_join`. Without `by`, `right` is one row.
+    Frequent groups of `left` are cut as in `salted_left_join`. Without `by`, `right` is one row.
     """
     added = [name for name in right.columns if name not in by]
     if not by:
         return left.withColumns({name: right.select(name).scalar() for name in added})
     group = F.struct(*by)
     return salted_left_join(
-        left.withColumn("_group", group), right.select(group.alias("_group"), *added), "_group"
+        left.withColumn("_group", group), right.select(group.alias("_group"), *added), "_group", True
     ).drop("_group")
 
 
@@ -104,7 +117,7 @@ def started_transactions(responses: DataFrame, requests: DataFrame) -> DataFrame
 
 
 def attach_starts(
-    stops: DataFrame, started: DataFrame, keep_left_key: bool = False, hot_share: float = HOT_SHARE
+    stops: DataFrame, started: DataFrame, keep_left_key: bool = False, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Every stop with the start of its transaction, if there is one.
 
@@ -120,7 +133,7 @@ def attach_starts(
         ),
         started.withColumn("_key", F.col("transaction_id")),
         "_key",
-        hot_share,
+        slice_rows=slice_rows,
     )
     key = F.col("_key" if keep_left_key else "transaction_id").alias("transaction_id")
     return joined.select(
@@ -138,7 +151,7 @@ def with_totals(df: DataFrame, unit: str = "kwh") -> DataFrame:
     )
 
 
-def attach_parking(cdr: DataFrame, parking: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
-    """Add each transaction's parking time; NULL where it has none."""
-    joined = salted_left_join(cdr, parking, "transaction_id", hot_share)
+def attach_parking(cdr: DataFrame, parking: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Add each transaction's parking time, of which there is one; NULL where it has none."""
+    joined = salted_left_join(cdr, parking, "transaction_id", True, slice_rows)
     return joined.select(*[c for c in CDR_WIDE_COLUMNS if c in joined.columns])

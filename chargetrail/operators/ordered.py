@@ -175,7 +175,12 @@ def distinct_keys(df: DataFrame, key: str = "charge_point_id") -> DataFrame:
 
 
 def drop_repeated_messages(
-    df: DataFrame, key: str = "message_id", ts: str = "write_timestamp", ties: tuple[str, ...] = ()
+    df: DataFrame,
+    key: str | tuple[str, ...] = "message_id",
+    ts: str = "write_timestamp",
+    ties: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per message id, the earliest written by instant; times that do not parse count as latest."""
-    return pick_per_key(df, [key], [instant(ts).asc_nulls_last(), *[F.col(tie) for tie in ties]])
+    """One row per message id (or several key columns), the earliest written by instant; times that do not parse count
+    as latest."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return pick_per_key(df, keys, [instant(ts).asc_nulls_last(), *[F.col(tie) for tie in ties]])

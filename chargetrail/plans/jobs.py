@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from chargetrail.operators.messages import (
     silver,
     unpack_json,
 )
-from chargetrail.operators.ordered import CHUNK_SECONDS, latest_per_key
+from chargetrail.operators.ordered import CHUNK_SECONDS, drop_repeated_messages, latest_per_key
 from chargetrail.operators.parking import parking_time
 from chargetrail.operators.stats import distribution, histogram
 from chargetrail.operators.timeslice import MINUTE, with_date_parts
@@ -68,7 +68,7 @@ def gold_cdr(
     to the started transactions before the stops are, so the counted left sides are both tables.
     """
     parking = parking_time(power, chunk_seconds=chunk_seconds)
-    started = salted_left_join(started, parking, "transaction_id")
+    started = materialise(salted_left_join(started, parking, "transaction_id", True), "started_parking")
     return (
         stop_requests.transform(attach_starts, started, keep_left_key)
         .transform(with_totals, unit)
@@ -114,7 +114,7 @@ def cdr_from_log(
 
 def write_bronze(log: DataFrame, path: str) -> None:
     """Bronze: the raw log as Parquet, one folder per message class, parsed from its source once."""
-    write_partitioned(log, path, ["action", "message_type"], mode="overwrite", rebalance=False)
+    write_partitioned(log, path, ["action", "message_type"], mode="overwrite")
 
 
 def write_silver(bronze: DataFrame, base: str, classes: list[MessageClass] | None = None) -> None:
@@ -155,10 +155,16 @@ def silver_minute(
 ) -> dict[str, str]:
     """Silver tables for the minute before `now`; returns the written folder of each table.
 
-    Partitions carry the minute and are replaced as a whole, so a repeated run changes nothing.
-    With `database`, the tables are also registered there.
+    Messages that were delivered twice are kept once. Partitions carry the minute and are replaced as a whole, so a
+    repeated run changes nothing. With `database`, the tables and the minute's partition are also registered there.
     """
-    minute = read_last_minute(spark, bronze_path, now)
+    minute = read_last_minute(spark, bronze_path, now).transform(
+        drop_repeated_messages, ("charge_point_id", "message_id", "message_type", "action")
+    )
+    # Read and shuffled once for all tables.
+    minute = materialise(minute, "minute")
+    written = now - timedelta(minutes=1)
+    partition = {part: getattr(written, part) for part in MINUTE}
     tables = {"EventLog": minute}
     for message in classes or SILVER_CLASSES:
         tables[message.table] = with_date_parts(silver(minute, message))
@@ -169,7 +175,7 @@ def silver_minute(
         name = create_database(spark, database, database_location, use=False)
         for table, rows in tables.items():
             create_external_table(
-                spark, name, table, paths[table], schema=rows.schema, partition_by=MINUTE
+                spark, name, table, paths[table], schema=rows.schema, partition_by=MINUTE, added=[partition]
             )
     return paths
 

@@ -31,11 +31,13 @@ def create_external_table(
     fmt: str = "PARQUET",
     schema: StructType | None = None,
     partition_by: tuple[str, ...] | list[str] = (),
+    added: list[dict[str, int | str]] | None = None,
 ) -> str:
     """Register files at `location`; returns the qualified name.
 
     With a schema no file is opened to find it, and the folder may still be empty. A partitioned
-    folder shows no rows until its partitions are registered, so that is done here.
+    folder shows no rows until its partitions are registered, so that is done here: those of `added`,
+    or without it all that a listing of the folder finds.
     """
     name = f"`{database}`.`{table}`"
     columns = partitions = ""
@@ -47,5 +49,9 @@ def create_external_table(
         f"CREATE TABLE IF NOT EXISTS {name}{columns} USING {fmt}{partitions} LOCATION '{location}'"
     )
     if partition_by and fmt.upper() != "DELTA":
-        spark.catalog.recoverPartitions(name)
+        if added is None:
+            spark.catalog.recoverPartitions(name)
+        for values in added or []:
+            spec = ", ".join(f"`{part}` = {values[part]!r}" for part in partition_by)
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
     return name

@@ -52,10 +52,8 @@ def write_routed(
 ) -> None:
     """Send each message to the folder `table=<action><Request|Response>`, all in one pass.
 
-    There are few tables, so rows are not shuffled unless further partition columns are given. An
+    Rows are rebalanced on the table, so the number of files follows the rows and not the tasks. An
     empty input writes no rows and creates no table folder.
     """
     routed = df.withColumn("table", table_name())
-    write_partitioned(
-        routed, path, ["table", *partition_by], mode, fmt=fmt, rebalance=bool(partition_by)
-    )
+    write_partitioned(routed, path, ["table", *partition_by], mode, fmt=fmt)

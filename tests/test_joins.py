@@ -22,7 +22,7 @@ def test_salted_join_equals_plain_join(spark):
     )
     right = spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("x"))
     right = right.unionByName(spark.sql("SELECT 7L k, 71L x UNION ALL SELECT 7L, 72L UNION ALL SELECT NULL, 0L"))
-    salted = salted_left_join(left, right, "k", hot_share=0.1, salts=16).select("id", "k", "x")
+    salted = salted_left_join(left, right, "k", slice_rows=100).select("id", "k", "x")
     assert rows(salted) == rows(left.join(right, "k", "left").select("id", "k", "x"))
 
 
@@ -33,7 +33,7 @@ def test_hot_keys_are_spread(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
-        joined = salted_left_join(left, right, "k", salts=64)
+        joined = salted_left_join(left, right, "k", slice_rows=50)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         assert joined.count() == 4000 and len(sizes) == 4 and max(r["count"] for r in sizes) < 2000
         assert "SortMergeJoin" in plan_text(joined)
@@ -42,6 +42,28 @@ def test_hot_keys_are_spread(spark):
             spark.conf.unset(f"spark.sql.{key}")
 
 
+def test_hot_keys_of_both_sides_are_cut(spark):
+    left = spark.range(400, numPartitions=4).select("id", F.when(F.col("id") < 300, 5).otherwise(F.col("id")).alias("k"))
+    right = spark.range(500, numPartitions=3).select(
+        F.when(F.col("id") < 250, 5).when(F.col("id") < 320, 350).when(F.col("id") < 400, -1).alias("k"), F.col("id").alias("x")
+    )
+    wanted = rows(left.join(right, "k", "left").select("id", "k", "x"))
+    for width in (7, 60, 280, 10_000):
+        joined = salted_left_join(left, right, "k", slice_rows=width)
+        assert joined.columns == ["k", "id", "x"]
+        assert rows(joined.select("id", "k", "x")) == wanted
+    names = ("autoBroadcastJoinThreshold", "adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        one = spark.createDataFrame([(1, 5)], "id int, k int")
+        joined = salted_left_join(one, right.where("k = 5"), "k", slice_rows=10)
+        assert joined.groupBy(F.spark_partition_id()).count().count() > 1 and joined.count() == 250
+    finally:
+        for name in names:
+            spark.conf.unset(f"spark.sql.{name}")
+
+
 def started(spark):
     responses = spark.createDataFrame(
         [("m1", "cp1", 1), ("m2", "cp2", 2), ("m9", "cp9", 9)], "message_id string, charge_point_id string, transaction_id int"
