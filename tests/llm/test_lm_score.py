@@ -38,3 +38,45 @@ def test_losses_equal_plain_counts(spark, docs, no_docs):
     assert lm_score.score_difference(no_docs, target, target).isEmpty()
     assert lm_score.score_difference(docs, target, lm_score.count_model(docs)).count() == len(texts())
     assert lm_score.count_model(no_docs).words.sum() == 0
+
+
+def test_more_words_than_places(spark):
+    """Words and pairs beyond any fixed number of places keep counts of their own, in blocks that meet."""
+    n = 2**lm_score.WORD_BITS + 40_000
+    known = [" ".join(f"v{j}" for j in range(i, min(i + 4000, n))) for i in range(0, n, 4000)]
+    strange = [(-1, "v1 v4001 v8001 v12001 v16001"), (-2, "never v5 v6 v5 seen v5"), (-3, None)]
+    rows = [*enumerate(known), *strange, *[(-4, "v5 v6 v5")] * 2]
+    near = ["v5 v6 v7 v7 v7", "here alone"]
+    target = lm_score.count_model(spark.createDataFrame([(t,) for t in near], "text string"))
+    background = lm_score.count_model(spark.createDataFrame([(t,) for t in known], "text string").repartition(3))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in lm_score.score_difference(docs, target, background).collect()}
+
+    different = len({w for t in known + near for w in t.split()})
+    bits, lm_score.WORD_BITS = lm_score.WORD_BITS, math.log2(different)
+    try:
+        wanted = zip(rows, brute([t for _, t in rows], near), brute([t for _, t in rows], known))
+    finally:
+        lm_score.WORD_BITS = bits
+    for (i, _), a, b in wanted:
+        assert got[i]["target_loss"] == pytest.approx(a, abs=1e-6)
+        assert got[i]["background_loss"] == pytest.approx(b, abs=1e-6)
+
+
+def test_models_with_other_shards(spark, monkeypatch):
+    """Models counted under different numbers of shuffle partitions, texts in many blocks."""
+    monkeypatch.setattr(lm_score, "BLOCK", 40)
+    rows = [(i, f"a b c{i} c{i % 3} a b") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    background = lm_score.count_model(docs)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        target = lm_score.count_model(docs.where("doc_id < 10"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert target.bits != background.bits
+    got = {r["doc_id"]: r for r in lm_score.score_difference(docs, target, background).collect()}
+    every = [t for _, t in rows]
+    for (i, _), a, b in zip(rows, brute(every, every[:10]), brute(every, every)):
+        assert got[i]["target_loss"] == pytest.approx(a, abs=1e-6)
+        assert got[i]["background_loss"] == pytest.approx(b, abs=1e-6)
