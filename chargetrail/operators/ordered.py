@@ -8,6 +8,7 @@ one extra "carry" row at its head. Carry rows are made from one summary row per
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -179,8 +180,14 @@ def drop_repeated_messages(
     key: str | tuple[str, ...] = "message_id",
     ts: str = "write_timestamp",
     ties: tuple[str, ...] = (),
+    known: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per message id (or several key columns), the earliest written by instant; times that do not parse count
-    as latest."""
+    as latest. Rows with a NULL in a column of `known` (all key columns by default) are not known to be copies and all
+    stay."""
     keys = [key] if isinstance(key, str) else list(key)
-    return pick_per_key(df, keys, [instant(ts).asc_nulls_last(), *[F.col(tie) for tie in ties]])
+    # Rows without a key have a group each, so they are neither dropped nor gathered in one task.
+    unknown = reduce(Column.__or__, [F.col(column).isNull() for column in known or keys])
+    own = df.withColumn("_own", F.when(unknown, F.monotonically_increasing_id()))
+    order = [instant(ts).asc_nulls_last(), *[F.col(tie) for tie in ties]]
+    return pick_per_key(own, [*keys, "_own"], order).drop("_own")

@@ -155,11 +155,13 @@ def silver_minute(
 ) -> dict[str, str]:
     """Silver tables for the minute before `now`; returns the written folder of each table.
 
-    Messages that were delivered twice are kept once. Partitions carry the minute and are replaced as a whole, so a
-    repeated run changes nothing. With `database`, the tables and the minute's partition are also registered there.
+    Messages that were delivered twice are kept once; those without a message id all stay. Partitions carry the minute
+    and are replaced as a whole, so a repeated run changes nothing. With `database`, the tables and the minute's partition are also registered there.
     """
     minute = read_last_minute(spark, bronze_path, now).transform(
-        drop_repeated_messages, ("charge_point_id", "message_id", "message_type", "action")
+        drop_repeated_messages,
+        ("charge_point_id", "message_id", "message_type", "action"),
+        known=("message_id",),
     )
     # Read and shuffled once for all tables.
     minute = materialise(minute, "minute")

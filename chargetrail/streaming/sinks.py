@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from chargetrail.functions import instant
-from chargetrail.operators.ordered import pick_per_key
+from chargetrail.operators.ordered import drop_repeated_messages
 
 
 def append_files(
@@ -30,7 +29,8 @@ def append_files(
 def append_first(
     stream: DataFrame, path: str, checkpoint: str, key: str = "message_id", ts: str = "write_timestamp"
 ) -> DataStreamWriter:
-    """Append the first arrival of every `key`, however late it is; `ts` decides within a batch.
+    """Append the first arrival of every `key`, however late it is; `ts` decides within a batch. Rows with a NULL key
+    are not known to be copies and all stay.
 
     Each batch goes below `path/batch=<id>`, without the keys of earlier batches, of which only the key column is read.
     So no watermark drops a row, the result has the same keys for every batch size, and a batch that is repeated after
@@ -38,11 +38,11 @@ def append_first(
     """
 
     def write_batch(rows: DataFrame, batch: int) -> None:
-        fresh = pick_per_key(rows, [key], [instant(ts).asc_nulls_last()])
+        fresh = drop_repeated_messages(rows, key, ts)
         if batch:
             written = rows.sparkSession.read.schema(f"`{key}` {dict(rows.dtypes)[key]}, batch long").parquet(path)
             seen = written.where(F.col("batch") < batch).select(F.col(key).alias("_seen"))
-            fresh = fresh.join(seen, fresh[key].eqNullSafe(seen["_seen"]), "left_anti")
+            fresh = fresh.join(seen, fresh[key] == seen["_seen"], "left_anti")
         fresh.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch)

@@ -214,3 +214,14 @@ def test_order_is_by_instant_not_by_text(spark):
     assert [r.message_id for r in top_latest(df, 3).collect()] == ["m2", "m1", "m0"]
     first = drop_repeated_messages(df, "charge_point_id")
     assert [r.message_id for r in first.collect()] == ["m1"]
+
+
+def test_messages_without_an_id_are_no_copies(spark):
+    df = spark.createDataFrame(
+        [("cp", None, 2, "x", 1), ("cp", None, 2, "x", 2), ("cp", None, 2, "x", 2), ("cp", "m", 2, None, 4), ("cp", "m", 2, None, 3)],
+        "charge_point_id string, message_id string, message_type int, action string, write_timestamp long",
+    ).withColumn("write_timestamp", F.timestamp_seconds("write_timestamp").cast("string"))
+    keys = ("charge_point_id", "message_id", "message_type", "action")
+    for got in (drop_repeated_messages(df), drop_repeated_messages(df, keys, known=("message_id",))):
+        assert got.columns == df.columns
+        assert sorted((r.message_id or "", r.write_timestamp[-1]) for r in got.collect()) == [("", "1"), ("", "2"), ("", "2"), ("m", "3")]

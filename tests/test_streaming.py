@@ -87,6 +87,16 @@ def test_append_first_keeps_late_first_arrivals(spark, folder, files):
     assert rows(spark.read.parquet(folder + "/out").select("charge_point_id")) == [("a",), ("b",), ("c",), ("d",)]
 
 
+@pytest.mark.parametrize("files", [1, None])
+def test_append_first_keeps_rows_without_a_key(spark, folder, files):
+    arrive(spark, folder, (None, 1), ("a", 2), (None, 1))
+    arrive(spark, folder, ("a", 2), (None, 1))
+    stream = file_stream(spark, folder + "/inbox", SCHEMA, files_per_batch=files)
+    run_to_end(append_first(stream, folder + "/out", folder + "/progress", "charge_point_id", "timestamp"), timeout=120)
+    got = [r[0] for r in spark.read.parquet(folder + "/out").select("charge_point_id").collect()]
+    assert sorted(got, key=str) == [None, None, None, "a"]
+
+
 def test_enrich_and_replay(spark, folder):
     static = spark.createDataFrame(
         [(0, "m0", 1, 2), (1, "m1", 1, 2)], "index long, message_id string, write_timestamp int, write_timestamp_epoch long"
