@@ -273,20 +273,23 @@ def _scored(placed: DataFrame, asked: DataFrame, counts: np.ndarray, k: int, wid
             return pa.table({n: pa.array([], pa.float64() if n == "score" else pa.int64()) for n in names})
         data, ids = _matrix(left.column("vector").combine_chunks(), width), left.column("class").to_numpy()
         asks, own = _matrix(right.column("vector").combine_chunks(), width), right.column("query").to_numpy()
-        most, parts = min(k + 9, len(ids)), []
+        best, parts = min(k + 1, len(ids)), []
+        # A product and the exact score differ by less than this share of both lengths; ties at the end all stay.
+        bound = 4 * (width + 1) * np.finfo(float).eps * np.sqrt((data * data).sum(axis=1).max())
         for at in range(0, len(own), 512):
             some = asks[at : at + 512]
-            near = np.argpartition(-(some @ data.T), most - 1, axis=1)[:, :most]
+            products = some @ data.T
+            least = np.partition(products, len(ids) - best, axis=1)[:, len(ids) - best]
+            least -= bound * np.sqrt((some * some).sum(axis=1))
+            asking, near = np.nonzero(products >= least[:, None])
             # Summed pair by pair: a pair has the same score in whatever block it is met.
-            exact = (some[:, None, :] * data[near]).sum(axis=2)
-            order = np.lexsort((ids[near], -exact), axis=1)[:, : k + 1]
-            parts.append(
-                (
-                    np.repeat(own[at : at + 512], order.shape[1]),
-                    np.take_along_axis(ids[near], order, axis=1).ravel(),
-                    np.take_along_axis(exact, order, axis=1).ravel(),
-                )
-            )
+            cuts = range(0, len(near), 16_384)
+            exact = [(some[asking[i : i + 16_384]] * data[near[i : i + 16_384]]).sum(axis=1) for i in cuts]
+            exact = np.concatenate(exact)
+            order = np.lexsort((ids[near], -exact, asking))  # queries stay in their places
+            place = np.arange(len(near)) - np.searchsorted(asking, asking)
+            order = order[place < best]
+            parts.append((own[at : at + 512][asking[order]], ids[near[order]], exact[order]))
         return pa.table({n: pa.array(np.concatenate([p[i] for p in parts])) for i, n in enumerate(names)})
 
     def blocks(rows: Column) -> Column:

@@ -99,3 +99,17 @@ def test_forest_finds_the_nearest(spark):
     few = forest.nearest(df.where("vec_id < 5"), F.col("vec_id") % 20 == 0)
     assert few.count() == 4
     assert forest.nearest(df.limit(0), F.lit(True)).isEmpty()
+
+
+def test_forest_ranks_all_ties(spark):
+    """Binary vectors: many more than k of them tie, and the smallest ids must stay."""
+    bits = np.random.default_rng(7).permutation(np.arange(1, 256))
+    data = (bits[:, None] >> np.arange(8)) & 1
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in forest.nearest(df, F.col("vec_id") % 20 == 0, k=5).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    for i in range(0, 255, 20):
+        scores = data @ data[i]
+        order = [int(j) for j in np.lexsort((np.arange(255), -scores)) if j != i][:5]
+        assert [got[i][n] for n in range(1, 6)] == [(j, float(scores[j])) for j in order]
