@@ -1,8 +1,8 @@
 """Ordered computations per key that do not put a whole key into one task.
 
-A plain window sends every row of a key to one task. Here a key's rows are cut into chunks of its
-order. Rows are shuffled by (key, chunk); what a chunk needs to know of the earlier ones comes as
-one extra "carry" row at its head. Carry rows are made from one summary row per chunk.
+A plain window sends every row of a key to one task. Here all rows are cut into even ranges of (key, order), and are shuffled
+by (key, range). What a range needs to know of the key's earlier ranges comes as one extra "carry" row at its head.
+Carry rows are made from one summary row per (key, range). There are few of these, as most keys lie in one range.
 """
 
 from __future__ import annotations
@@ -13,45 +13,42 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chargetrail.functions import epoch_seconds, instant
+from chargetrail.functions import instant
 from chargetrail.session import materialise
 
 CHUNK = "_chunk"
 _IS_ROW = "_is_row"
-CHUNK_SECONDS = (21_600, 600)
-MOST_ROWS = 20_000_000
+#: Rows sampled per range: more make the ranges more even.
+_SAMPLES = 16
 
 
-def time_chunk(ts: Column | str, seconds: int) -> Column:
-    """Start of the stretch of `seconds` that `ts` falls in; any width gives the same results."""
-    at = epoch_seconds(ts)
-    return at - F.pmod(at, F.lit(seconds))
+def with_ranges(df: DataFrame, keys: list[str], order: list[str], ranges: int | None = None, name: str = CHUNK) -> DataFrame:
+    """Add `_place`, the row's place in the input, and `name`, the number of its range in the order of (keys, order,
+    `_place`). Ranges are about even, `ranges` in all (twice `spark.sql.shuffle.partitions` by default).
 
-
-def time_chunks(ts: Column | str, seconds: int | tuple[int, ...] = CHUNK_SECONDS) -> list[Column]:
-    """Time chunks of several widths, widest first: wide ones make few summaries, narrow ones bound
-    the rows of a busy key more tightly."""
-    widths = (seconds,) if isinstance(seconds, int) else seconds
-    return [time_chunk(ts, width) for width in widths]
-
-
-def largest_chunk(df: DataFrame, keys: list[str], chunk: Column) -> int:
-    """Rows of the largest (key, chunk)."""
-    sizes = df.groupBy(*keys, chunk.alias(CHUNK)).agg(F.count("*").alias("_rows"))
-    return sizes.agg(F.max("_rows")).first()[0] or 0
-
-
-def fitting_chunk(
-    df: DataFrame, keys: list[str], chunks: list[Column], most_rows: int | None
-) -> Column | None:
-    """The first of `chunks` with at most `most_rows` rows in every (key, chunk), if there is one.
-
-    Only keys and chunks are read and counted, combined before the shuffle.
+    The borders come from a sample, the rows whose hashes are smallest. It is part of the plan and the same however often
+    it is drawn, so building the plan starts no job, and a plan that reads the result twice gets one numbering.
+    `_place` lets copies lie in several ranges. Places are those of Spark's scan: pass a scan or a written table.
     """
-    for chunk in chunks:
-        if most_rows is None or largest_chunk(df, keys, chunk) <= most_rows:
-            return chunk
-    return None
+    if ranges is None:
+        ranges = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    at = F.struct(*keys, *order, "_place")
+    sample = (
+        placed.select(at.alias("_at"))
+        .orderBy(F.xxhash64("_at"), "_at")
+        .limit(_SAMPLES * ranges)
+        .agg(F.sort_array(F.collect_list("_at")).alias("_all"))
+    )
+    every = F.filter("_all", lambda _, i: i % _SAMPLES == _SAMPLES - 1)
+    borders = sample.select(every).scalar()
+    # A binary search, unrolled so that it is compiled with its surroundings: `name` is how many borders are surely not
+    # above the row. Beyond the last border there is NULL, which is not below it.
+    numbered = placed.withColumns({"_at": at, name: F.lit(0)})
+    for bit in reversed(range(ranges.bit_length())):
+        low, probe = F.col(name), F.col(name) + (1 << bit)
+        numbered = numbered.withColumn(name, F.when(F.get(borders, probe - 1) <= F.col("_at"), probe).otherwise(low))
+    return numbered.drop("_at")
 
 
 def in_ranges(df: DataFrame, order: list[str], chunk: str, position: str | None = None) -> DataFrame:
@@ -79,40 +76,43 @@ def ordered_columns(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    chunks: list[Column],
     lags: dict[str, tuple[Column, object]] | None = None,
     sums: dict[str, Column] | None = None,
     wholes: dict[str, tuple[Callable[[str], Column], Column]] | None = None,
-    most_rows: int | None = MOST_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Add previous values, running sums and whole-key aggregates, in ascending `order` (NULLs first).
+    """Add previous values, running sums and whole-key aggregates, in ascending `order` (NULLs first); rows that are equal
+    in it keep the order of the input.
 
     `lags` maps a new column to (value, default for a key's first row), `sums` a new column to the
     summed value, `wholes` a new column to (`F.min`, `F.max` or `F.sum`, value) over all rows of the
-    key. `df` is read again for the summaries: pass a scan or a written table, not a costly plan.
-
-    `chunks` are the ways to cut a key's rows, in order of preference (`time_chunks`); none may
-    decrease along `order`. The largest (key, chunk) is counted first. If all have more than
-    `most_rows` rows somewhere, as when a great many copies share one instant, the table is cut into
-    even ranges instead; the results are the same. `most_rows=None` takes the first without a count.
+    key. `df` is read three times (`with_ranges`, summaries, rows): pass a scan or a written table, not a costly plan.
     """
-    chunk = fitting_chunk(df, keys, chunks, most_rows)
-    if chunk is None:
-        ranged = in_ranges(df, [*keys, *order], "_range")
-        return ordered_columns(
-            ranged, keys, [*order, "_place"], [F.col("_range")], lags, sums, wholes, None
-        ).drop("_range", "_place")
+    numbered = with_ranges(df, keys, order, ranges)
+    return prefix_scan(numbered, keys, [*order, "_place"], lags, sums, wholes).select(
+        *df.columns, *(lags or {}), *(sums or {}), *(wholes or {})
+    )
+
 
+def prefix_scan(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    lags: dict[str, tuple[Column, object]] | None = None,
+    sums: dict[str, Column] | None = None,
+    wholes: dict[str, tuple[Callable[[str], Column], Column]] | None = None,
+    chunk: str = CHUNK,
+) -> DataFrame:
+    """`ordered_columns` on a table whose column `chunk` numbers ranges: it never falls along a key's `order`."""
     lags, sums, wholes = lags or {}, sums or {}, wholes or {}
     rows = df.select(
         "*",
-        chunk.alias(CHUNK),
         *[value.alias(f"_lag_{name}") for name, (value, _) in lags.items()],
         *[value.alias(f"_sum_{name}") for name, value in sums.items()],
         *[value.alias(f"_whole_{name}") for name, (_, value) in wholes.items()],
     )
 
-    across = Window.partitionBy(*keys).orderBy(CHUNK)
+    across = Window.partitionBy(*keys).orderBy(chunk)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     summary, carry = [], []
@@ -129,9 +129,9 @@ def ordered_columns(
     for name, (aggregate, _) in wholes.items():
         summary.append(aggregate(f"_whole_{name}").alias(f"_whole_{name}"))
         carry.append(aggregate(f"_whole_{name}").over(whole).alias(f"_whole_{name}"))
-    carried = rows.groupBy(*keys, CHUNK).agg(*summary).select(*keys, CHUNK, *carry)
+    carried = rows.groupBy(*keys, chunk).agg(*summary).select(*keys, chunk, *carry)
 
-    within = Window.partitionBy(*keys, CHUNK).orderBy(_IS_ROW, *order)
+    within = Window.partitionBy(*keys, chunk).orderBy(_IS_ROW, *order)
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         rows.withColumn(_IS_ROW, F.lit(1))

@@ -4,19 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chargetrail.functions import epoch_seconds, positive_flag
-from chargetrail.operators.ordered import (
-    CHUNK,
-    CHUNK_SECONDS,
-    MOST_ROWS,
-    fitting_chunk,
-    in_ranges,
-    ordered_columns,
-    time_chunks,
-)
-from chargetrail.session import materialise
+from chargetrail.operators.ordered import CHUNK, ordered_columns, with_ranges
 
 
 def with_boundaries(
@@ -25,7 +15,7 @@ def with_boundaries(
     ts: str = "timestamp",
     value: str = "value",
     tie: str | None = None,
-    chunk_seconds: int | tuple[int, ...] = CHUNK_SECONDS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add `charging` (1 or 0) and `boundary`, 1 where charging differs from the sample before.
 
@@ -33,11 +23,7 @@ def with_boundaries(
     """
     flagged = df.withColumn("charging", positive_flag(value))
     previous = ordered_columns(
-        flagged,
-        [key],
-        [ts, tie or value],
-        time_chunks(ts, chunk_seconds),
-        lags={"_previous": (F.col("charging"), 0)},
+        flagged, [key], [ts, tie or value], lags={"_previous": (F.col("charging"), 0)}, ranges=ranges
     )
     return previous.withColumn("boundary", F.abs(F.col("charging") - F.col("_previous"))).drop("_previous")
 
@@ -48,51 +34,44 @@ def idle_islands(
     ts: str = "timestamp",
     value: str = "value",
     tie: str | None = None,
-    chunk_seconds: int | tuple[int, ...] = CHUNK_SECONDS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row per run of idle samples: key, island number, seconds from first to last sample.
 
-    Kept for inspecting single runs; `parking_time` gets the totals with fewer shuffles.
+    The island's number is how often charging has changed up to it. Changes are counted within each range first and
+    reduced to runs there; what came before a range is added to its runs, and a run that goes on in the next ranges is put
+    together in the end. `parking_time` gets the totals with fewer shuffles.
     """
-    bounded = with_boundaries(df, key, ts, value, tie, chunk_seconds)
-    numbered = ordered_columns(
-        materialise(bounded, "boundaries"),
-        [key],
-        [ts, tie or value],
-        time_chunks(ts, chunk_seconds),
-        sums={"island": F.col("boundary")},
+    samples = with_ranges(df.withColumn("_charging", positive_flag(value)), [key], [ts, tie or value], ranges)
+    within = Window.partitionBy(key, CHUNK).orderBy(ts, tie or value, "_place")
+    before = F.lag("_charging").over(within)
+    changes = samples.select(
+        key,
+        CHUNK,
+        epoch_seconds(ts).alias("_seconds"),
+        "_charging",
+        F.abs(F.col("_charging") - before).alias("_change"),
+        F.row_number().over(within).alias("_nth"),
     )
-    seconds = epoch_seconds(F.max(ts)) - epoch_seconds(F.min(ts))
-    return numbered.where("charging = 0").groupBy(key, "island").agg(seconds.alias("duration"))
-
-
-def _nulls_lowest(df: DataFrame, name: str) -> Column:
-    """`name` as a sort value that is never NULL; numbers stay plain so that Spark aggregates by hash."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.coalesce(F.col(name).cast("bigint"), F.lit(-(2**63)))
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.coalesce(F.col(name), F.lit(float("-inf")))
-    return F.struct(name)
-
-
-def _instants(df: DataFrame, key: str, ts: str, idle: Column, tie: str | None) -> DataFrame:
-    """One row per key and instant: whether its first, its last and any of its samples is idle."""
-    if tie is None:
-        # In the order of the values, the idle samples of an instant come first.
-        first_idle, last_idle = F.max(idle), F.min(idle)
-    else:
-        order = _nulls_lowest(df, tie)
-        first_idle, last_idle = F.min_by(idle, order), F.max_by(idle, order)
-    return (
-        df.groupBy(key, F.col(ts).alias("_ts"))
-        .agg(
-            first_idle.alias("_first_idle"),
-            last_idle.alias("_last_idle"),
-            F.max(idle).alias("_any_idle"),
-        )
-        .withColumn("_tie", F.lit(0))
+    so_far = Window.partitionBy(key, CHUNK).orderBy("_nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = changes.withColumn("_run", F.coalesce(F.sum("_change").over(so_far), F.lit(0)))
+    runs = numbered.groupBy(key, CHUNK, "_run", "_charging").agg(
+        F.min("_seconds").alias("_from"), F.max("_seconds").alias("_to")
     )
+    # One row per key and range: its first and last state, and the changes inside.
+    ends = runs.groupBy(key, CHUNK).agg(
+        F.min_by("_charging", "_run").alias("_first"), F.max_by("_charging", "_run").alias("_last"), F.max("_run").alias("_inside")
+    )
+    across = Window.partitionBy(key).orderBy(CHUNK)
+    entered = F.abs(F.col("_first") - F.lag("_last", 1, 0).over(across))
+    upto = F.sum(F.col("_entered") + F.col("_inside")).over(across)
+    earlier = ends.select(key, CHUNK, "_inside", entered.alias("_entered")).select(
+        F.col(key).alias("_key"), F.col(CHUNK).alias("_range"), (upto - F.col("_inside")).alias("_before")
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(CHUNK) == F.col("_range"))
+    joined = runs.where("_charging = 0").join(earlier, same)
+    island = (F.col("_run") + F.col("_before")).alias("island")
+    return joined.groupBy(key, island).agg((F.max("_to") - F.min("_from")).alias("duration"))
 
 
 def parking_time(
@@ -102,41 +81,33 @@ def parking_time(
     value: str = "value",
     tie: str | None = None,
     name: str = "total_parking_time",
-    chunk_seconds: int | tuple[int, ...] = CHUNK_SECONDS,
-    most_rows: int | None = MOST_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Hours of idle runs per key, two decimals; keys without an idle sample have no row.
 
     A run lasts from its first to its last idle sample, so it is the sum of the gaps between
     neighbouring samples that are both idle. Gaps add up, so no island has to be numbered and no
-    task holds a whole key: each (key, time chunk) is reduced to its inner gaps and its two ends,
-    and the few chunks of a key are joined at the end.
-
-    The largest (key, chunk) is counted first, for each width in `chunk_seconds` until one fits. If
-    all have more than `most_rows` rows, the samples of an instant are combined before they are
-    shuffled (copies vanish there) and the instants are cut into even ranges instead. `df` is read
-    again for the counts: pass a scan or a written table.
+    task holds a whole key: each (key, range) is reduced to its inner gaps and its two ends,
+    and the few ranges of a key are joined at the end. `df` is read twice (`with_ranges`): pass a scan or a
+    written table.
     """
     idle = 1 - positive_flag(value)
-    chunk = fitting_chunk(df, [key], time_chunks(ts, chunk_seconds), most_rows)
-    if chunk is None:
-        samples = in_ranges(materialise(_instants(df, key, ts, idle, tie), "instants"), [key, "_ts"], CHUNK)
-    else:
-        samples = df.select(
-            key,
-            F.col(ts).alias("_ts"),
-            F.col(tie or value).alias("_tie"),
-            idle.alias("_first_idle"),
-            idle.alias("_last_idle"),
-            idle.alias("_any_idle"),
-            chunk.alias(CHUNK),
-        )
+    samples = with_ranges(df, [key], [ts, tie or value], ranges).select(
+        key,
+        F.col(ts).alias("_ts"),
+        F.col(tie or value).alias("_tie"),
+        "_place",
+        idle.alias("_first_idle"),
+        idle.alias("_last_idle"),
+        idle.alias("_any_idle"),
+        CHUNK,
+    )
     samples = samples.withColumn("_seconds", epoch_seconds("_ts"))
 
     def gap(seconds: Column, idle: Column, seconds_before: Column, idle_before: Column) -> Column:
         return F.when((idle == 1) & (idle_before == 1), seconds - seconds_before).otherwise(0)
 
-    within = Window.partitionBy(key, CHUNK).orderBy("_ts", "_tie")
+    within = Window.partitionBy(key, CHUNK).orderBy("_ts", "_tie", "_place")
     idle_before, idle_after = F.lag("_last_idle").over(within), F.lead("_first_idle").over(within)
     inner = gap(F.col("_seconds"), F.col("_first_idle"), F.lag("_seconds").over(within), idle_before)
     # Plain numbers only, so that the chunks are aggregated by hash.

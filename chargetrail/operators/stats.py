@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chargetrail.operators.joins import attach_per_group
-from chargetrail.operators.ordered import ordered_columns
+from chargetrail.operators.ordered import prefix_scan
 from chargetrail.session import materialise
 
 
@@ -67,14 +67,13 @@ def distribution(df: DataFrame, value: str, by: list[str] | None = None, digits:
         counted.repartitionByRange(*by, "_value").withColumn("_range", F.spark_partition_id()),
         "distribution",
     )
-    ranked = ordered_columns(
+    ranked = prefix_scan(
         ranged,
         by,
         ["_value"],
-        [F.col("_range")],
         sums={"_upto": F.col("_n")},
         wholes={"_total": (F.sum, F.col("_n"))},
-        most_rows=None,
+        chunk="_range",
     )
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     summary = ranked.groupBy(*by).agg(

@@ -27,7 +27,6 @@ from chargetrail.operators.ordered import (
     drop_repeated_messages,
     latest_per_key as latest_rows,
     ordered_columns,
-    time_chunks,
     top_latest,
 )
 from chargetrail.operators.parking import idle_islands, parking_time as idle_hours, with_boundaries
@@ -574,7 +573,6 @@ def running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
         samples,
         ["transaction_id"],
         ["timestamp", "event_id"],
-        time_chunks("timestamp"),
         sums={"so_far": F.col("charging")},
     )
     return summed.select("transaction_id", "event_id", "so_far")

@@ -22,7 +22,7 @@ from chargetrail.operators.messages import (
     silver,
     unpack_json,
 )
-from chargetrail.operators.ordered import CHUNK_SECONDS, drop_repeated_messages, latest_per_key
+from chargetrail.operators.ordered import drop_repeated_messages, latest_per_key
 from chargetrail.operators.parking import parking_time
 from chargetrail.operators.stats import distribution, histogram
 from chargetrail.operators.timeslice import MINUTE, with_date_parts
@@ -60,14 +60,14 @@ def gold_cdr(
     power: DataFrame,
     unit: str = "kwh",
     keep_left_key: bool = False,
-    chunk_seconds: int | tuple[int, ...] = CHUNK_SECONDS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """One wide charge data record per stopped transaction.
 
     Pass tables, not plans: keys are counted before they are joined. The parking time is attached
     to the started transactions before the stops are, so the counted left sides are both tables.
     """
-    parking = parking_time(power, chunk_seconds=chunk_seconds)
+    parking = parking_time(power, ranges=ranges)
     started = materialise(salted_left_join(started, parking, "transaction_id", True), "started_parking")
     return (
         stop_requests.transform(attach_starts, started, keep_left_key)
@@ -81,7 +81,7 @@ def cdr_from_log(
     unit: str = "wh",
     wide_ids: bool = False,
     keep_left_key: bool = False,
-    chunk_seconds: int | tuple[int, ...] = CHUNK_SECONDS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Charge data records straight from an event log in a columnar table.
 
@@ -108,7 +108,7 @@ def cdr_from_log(
         materialise(power, "power"),
         unit,
         keep_left_key,
-        chunk_seconds,
+        ranges,
     ).select(*CDR_COLUMNS)
 
 

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from chargetrail.operators.joins import (
     attach_parking,
     attach_starts,
+    correlate,
+    hot_hashes,
+    salted_join,
     salted_left_join,
     started_transactions,
     with_totals,
@@ -64,6 +67,46 @@ def test_hot_keys_of_both_sides_are_cut(spark):
             spark.conf.unset(f"spark.sql.{name}")
 
 
+def test_hot_keys_need_no_shuffle_of_the_keys(spark, folder):
+    rows_ = spark.range(60_000, numPartitions=6)
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id"))
+    rows_.select("id", key.alias("k")).write.parquet(folder + "/left")
+    rows_.limit(100).select(F.lit(9).cast("long").alias("k")).write.parquet(folder + "/right")
+    left, right = spark.read.parquet(folder + "/left"), spark.read.parquet(folder + "/right")
+    sides = {name: df.where("k IS NOT NULL").select(F.xxhash64("k").alias("_hash")) for name, df in (("left", left), ("right", right))}
+    found = hot_hashes(sides, 50)
+    hashes = {r[0]: r[1] for r in spark.createDataFrame([(7,), (9,)], "k long").select(F.xxhash64("k"), "k").collect()}
+    cuts = {hashes[key]: slices for key, *slices in found}
+    assert cuts.keys() == {7, 9} and cuts[7][0] in (400, 401) and cuts[7][1] == 1 and cuts[9] == [1, 2]
+    assert hot_hashes(sides, 10**6) == []
+    assert hot_hashes({name: df.limit(0) for name, df in sides.items()}, 1) == []
+    # Of a side only its sketches meet: 6 tasks, 2 sides, whatever the number of keys.
+    plain = salted_join(left, right, "k", slice_rows=10**6)
+    assert plan_text(plain).count("Exchange hashpartitioning") <= 2
+
+
+def test_one_id_in_a_third_of_both_sides(spark):
+    """Requests and responses with one message id in a third of the rows, without adaptive execution."""
+    requests = spark.range(600, numPartitions=3).select(
+        F.when(F.col("id") % 3 == 0, F.lit("same")).when(F.col("id") % 7 == 1, None).otherwise(F.col("id").cast("string")).alias("m"),
+        F.col("id").alias("x"),
+    )
+    responses = requests.select("m", (F.col("x") * 2).alias("x"))
+    names = ("autoBroadcastJoinThreshold", "adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        plain = responses.selectExpr("m AS k", "x AS a").join(requests.selectExpr("m AS k", "x AS b"), "k").select("a", "b")
+        joined = correlate(responses, requests, "m", {"a": "x"}, {"b": "x"}, slice_rows=40)
+        assert joined.columns == ["a", "b"]
+        assert rows(joined) == rows(plain)
+        hot = joined.where("b % 3 = 0").groupBy(F.spark_partition_id()).count().collect()
+        assert len(hot) == 4 and max(r["count"] for r in hot) < 0.6 * 200 * 200
+    finally:
+        for name in names:
+            spark.conf.unset(f"spark.sql.{name}")
+
+
 def started(spark):
     responses = spark.createDataFrame(
         [("m1", "cp1", 1), ("m2", "cp2", 2), ("m9", "cp9", 9)], "message_id string, charge_point_id string, transaction_id int"

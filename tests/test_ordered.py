@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -7,12 +8,10 @@ from pyspark.sql import functions as F
 from chargetrail.operators.ordered import (
     distinct_keys,
     drop_repeated_messages,
-    in_ranges,
     latest_per_key,
     ordered_columns,
-    time_chunk,
-    time_chunks,
     top_latest,
+    with_ranges,
 )
 from chargetrail.operators.joins import with_bounds
 from chargetrail.operators.parking import idle_islands, parking_time, with_boundaries
@@ -47,17 +46,33 @@ def by_key(data):
     return groups
 
 
-@pytest.mark.parametrize("width", [1, 600, 7200, 10**6])
-def test_lag_sum_and_wholes_match_brute_force(spark, width):
-    data = skewed_samples(width)
+@pytest.fixture
+def no_jobs(spark):
+    """A function that says how many jobs Spark has run since the last call."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "plans")
+    seen = set(tracker.getJobIdsForGroup("plans"))
+
+    def started():
+        new = set(tracker.getJobIdsForGroup("plans")) - seen
+        seen.update(new)
+        return len(new)
+
+    yield started
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 16, None])
+def test_lag_sum_and_wholes_match_brute_force(spark, ranges):
+    data = skewed_samples(ranges or 2)
     df = ordered_columns(
         frame(spark, data),
         ["k"],
         ["ts", "id"],
-        [time_chunk("ts", width)],
         lags={"before": (F.col("v"), -9.0)},
         sums={"so_far": F.col("v"), "nth": F.lit(1)},
         wholes={"top": (F.max, F.col("id"))},
+        ranges=ranges,
     )
     want = {}
     for group in by_key(data).values():
@@ -73,29 +88,50 @@ def test_lag_sum_and_wholes_match_brute_force(spark, width):
 def test_ordered_columns_shuffle_rows_once(spark, folder):
     frame(spark, skewed_samples(1)).write.parquet(folder + "/s")
     df = spark.read.parquet(folder + "/s")
-    summed = ordered_columns(df, ["k"], ["ts", "id"], time_chunks("ts"), sums={"s": F.col("v")})
+    summed = ordered_columns(df, ["k"], ["ts", "id"], sums={"s": F.col("v")})
     plan = plan_text(summed)
-    # one for the rows with the carries, two for the summaries
-    assert plan.count("Exchange hashpartitioning") == 3
+    # one for the rows with the carries, two for the summaries; the sample is a bounded sort in a subquery
+    assert plan.count("Exchange hashpartitioning") == 3 and "Exchange rangepartitioning" not in plan
     assert "Join" not in plan
 
 
-def test_ranges_replace_chunks_that_are_too_large(spark):
-    """A third of all rows are copies of one row; no range may hold them all."""
-    copies = [(1, 50, -1, 2.0)] * 200
-    data = [(k, s, i, v) for k, s, i, v in skewed_samples(9, 400)] + copies
-    df = frame(spark, data)
-    sums = {"so_far": F.lit(1)}
-    wanted = ordered_columns(df, ["k"], ["ts", "id"], time_chunks("ts"), sums=sums)
-    # Adaptive execution would join ranges as small as these again.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
-    try:
-        ranged = ordered_columns(df, ["k"], ["ts", "id"], time_chunks("ts"), sums=sums, most_rows=100)
-        parts = in_ranges(df, ["k", "ts", "id"], "part")
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert ranged.columns == wanted.columns and rows(ranged) == rows(wanted)
-    assert parts.where("id = -1").select("part").distinct().count() > 1
+def test_building_an_ordered_plan_starts_no_job(spark, folder, no_jobs):
+    frame(spark, skewed_samples(1)).write.parquet(folder + "/s")
+    df = spark.read.schema("k int, ts timestamp, id int, v double").parquet(folder + "/s")
+    no_jobs()
+    plans = [
+        ordered_columns(df, ["k"], ["ts", "id"], sums={"s": F.col("v")}),
+        with_boundaries(df, "k", "ts", "v", "id"),
+        idle_islands(df, "k", "ts", "v", "id"),
+        parking_time(df, "k", "ts", "v", "id"),
+    ]
+    assert no_jobs() == 0
+    assert all(plan.count() for plan in plans) and no_jobs() > 0
+
+
+def test_ranges_are_even_and_cut_copies(spark, folder):
+    """A third of all rows are copies of one row, and another third has one key."""
+    copies = [(1, 50, -1, 2.0)] * 4000
+    data = [(k, s, i, v) for k, s, i, v in skewed_samples(9, 8000)] + copies
+    frame(spark, data).write.parquet(folder + "/s")
+    df = spark.read.parquet(folder + "/s")
+    ranged = with_ranges(df, ["k"], ["ts", "id"], 12)
+    sizes = [r["count"] for r in ranged.groupBy("_chunk").count().collect()]
+    assert len(sizes) == 13 and max(sizes) < 2.5 * len(data) / 13
+    assert ranged.where("id = -1").select("_chunk").distinct().count() > 3
+    # ranges follow the order
+    ends = ranged.groupBy("_chunk").agg(F.min(F.struct("k", "ts", "id", "_place")).alias("a"), F.max(F.struct("k", "ts", "id", "_place")).alias("b"))
+    ends = [(r.a, r.b) for r in ends.orderBy("_chunk").collect()]
+    assert all(tuple((x is not None, x) for x in b) < tuple((x is not None, x) for x in a) for (_, b), (a, _) in zip(ends, ends[1:]))
+    nth = ordered_columns(df, ["k"], ["ts", "id"], sums={"nth": F.lit(1)}, ranges=12)
+    per_key = nth.groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("nth").alias("d"), F.max("nth").alias("m"))
+    assert all(r.n == r.d == r.m for r in per_key.collect())
+
+
+def test_no_rows(spark):
+    df = frame(spark, skewed_samples(1)).where("k > 100")
+    assert ordered_columns(df, ["k"], ["ts"], sums={"s": F.col("v")}).isEmpty()
+    assert parking_time(df, "k", "ts", "v").isEmpty() and idle_islands(df, "k", "ts", "v").isEmpty()
 
 
 def test_bounds(spark):
@@ -122,22 +158,31 @@ def brute_parking(data):
     return result
 
 
-@pytest.mark.parametrize("width", [1, 600, 7200, 10**6])
+@pytest.mark.parametrize("ranges", [1, 5, 40])
 @pytest.mark.parametrize("seed", [3, 4])
-def test_parking_time_matches_brute_force(spark, width, seed):
+def test_parking_time_matches_brute_force(spark, ranges, seed):
     data = skewed_samples(seed)
     df = frame(spark, data)
-    got = {r.k: r.total_parking_time for r in parking_time(df, "k", "ts", "v", "id", chunk_seconds=width).collect()}
+    got = {r.k: r.total_parking_time for r in parking_time(df, "k", "ts", "v", "id", ranges=ranges).collect()}
     want = brute_parking(data)
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k] / 3600) <= 0.0051 for k in want)
-    ranged = parking_time(df, "k", "ts", "v", "id", chunk_seconds=width, most_rows=1)
-    assert {r.k: r.total_parking_time for r in ranged.collect()} == got
-    narrow = parking_time(df, "k", "ts", "v", "id", chunk_seconds=(10**7, 1), most_rows=20)
-    assert {r.k: r.total_parking_time for r in narrow.collect()} == got
-    islands = idle_islands(df, "k", "ts", "v", "id", chunk_seconds=width)
-    totals = {r.k: r.s for r in islands.groupBy("k").agg(F.sum("duration").alias("s")).collect()}
-    assert totals == want
+    islands = idle_islands(df, "k", "ts", "v", "id", ranges=ranges)
+    assert Counter((r.k, r.island, r.duration) for r in islands.collect()) == brute_islands(data)
+
+
+def brute_islands(data):
+    found = {}
+    for key, group in by_key(data).items():
+        island, before = 0, 0
+        for _, seconds, _, v in group:
+            charging = int(v is not None and v > 0)
+            island += charging != before
+            before = charging
+            if not charging:
+                first, last = found.get((key, island), (seconds, seconds))
+                found[key, island] = (min(first, seconds), max(last, seconds))
+    return Counter((*at, last - first) for at, (first, last) in found.items())
 
 
 def test_parking_time_by_hand(spark):
@@ -183,7 +228,7 @@ def test_parking_time_with_default_tie_and_copies(spark):
     data = [(k, s // 900 * 900, i, v) for k, s, i, v in skewed_samples(11)] * 3
     df = frame(spark, data)
     got = {r.k: r.total_parking_time for r in parking_time(df, "k", "ts", "v").collect()}
-    ranged = parking_time(df, "k", "ts", "v", most_rows=1)
+    ranged = parking_time(df, "k", "ts", "v", ranges=60)
     assert {r.k: r.total_parking_time for r in ranged.collect()} == got
     by_value = [(k, s, -10.0 if v is None else v, v) for k, s, _, v in data]
     want = brute_parking(by_value)
