@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from chargetrail.functions import parse_timestamp
 from chargetrail.operators.joins import (
@@ -25,7 +26,7 @@ from chargetrail.operators.messages import (
 from chargetrail.operators.ordered import drop_repeated_messages, latest_per_key
 from chargetrail.operators.parking import parking_time
 from chargetrail.operators.stats import distribution, histogram
-from chargetrail.operators.timeslice import MINUTE, with_date_parts
+from chargetrail.operators.timeslice import DAY, MINUTE, with_date_parts
 from chargetrail.schemas import (
     CDR_COLUMNS,
     CDR_WIDE_COLUMNS,
@@ -38,7 +39,8 @@ from chargetrail.schemas import (
     MessageClass,
 )
 from chargetrail.session import materialise
-from chargetrail.sinks import create_database, create_external_table, write_parquet, write_partitioned, write_routed
+from chargetrail.sinks import create_database, create_external_table, write_parquet, write_partitioned, write_slice
+from chargetrail.sinks.files import SLICE
 from chargetrail.sources import read_csv_log, read_last_minute, read_parquet
 
 SILVER = {message.table: message for message in SILVER_CLASSES}
@@ -152,11 +154,15 @@ def silver_minute(
     database: str | None = None,
     classes: list[MessageClass] | None = None,
     database_location: str | None = None,
+    by_charge_point: bool = False,
 ) -> dict[str, str]:
     """Silver tables for the minute before `now`; returns the written folder of each table.
 
     Messages that were delivered twice are kept once; those without a message id all stay. Partitions carry the minute
-    and are replaced as a whole, so a repeated run changes nothing. With `database`, the tables and the minute's partition are also registered there.
+    and are replaced as a whole, so a repeated run changes nothing. With `by_charge_point` the folders are
+    charge_point_id/year/month/day, and below each of them a slice per minute, which is replaced as one; a charge point's
+    days are then read without those of others. With `database`, the tables and the minute's partitions are also registered
+    there.
     """
     minute = read_last_minute(spark, bronze_path, now).transform(
         drop_repeated_messages,
@@ -171,14 +177,24 @@ def silver_minute(
     for message in classes or SILVER_CLASSES:
         tables[message.table] = with_date_parts(silver(minute, message))
     paths = {table: f"{base}/{table}" for table in tables}
+    layout: tuple[str, ...] = ("charge_point_id", *DAY) if by_charge_point else MINUTE
+    added = {}
     for table, rows in tables.items():
-        write_partitioned(rows, paths[table], MINUTE, "replace", ["charge_point_id"])
+        if by_charge_point:
+            stamp = written.strftime("%Y%m%d%H%M")
+            folders = write_slice(rows, paths[table], stamp, layout)
+            added[table] = folders.withColumn(SLICE, F.lit(stamp)) if database else None
+        else:
+            write_partitioned(rows, paths[table], layout, "replace", ["charge_point_id"])
     if database:
         name = create_database(spark, database, database_location, use=False)
         for table, rows in tables.items():
-            create_external_table(
-                spark, name, table, paths[table], schema=rows.schema, partition_by=MINUTE, added=[partition]
-            )
+            schema, parts, specs = rows.schema, layout, [partition]
+            if by_charge_point:
+                # No more than the minute has charge points.
+                schema, parts = StructType([*schema, StructField(SLICE, StringType())]), (*layout, SLICE)
+                specs = [row.asDict() for row in added[table].collect()]
+            create_external_table(spark, name, table, paths[table], schema=schema, partition_by=parts, added=specs)
     return paths
 
 

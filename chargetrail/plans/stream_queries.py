@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,12 @@ from chargetrail.sources import read_parquet, with_row_index
 from chargetrail.streaming import (
     append_files,
     append_first,
+    current_view,
     enrich,
     file_stream,
-    latest_view,
     rocksdb_state,
     run_to_end,
+    split_late,
     status_events,
     upsert_log,
     windowed_status_counts,
@@ -37,6 +40,22 @@ def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return file_stream(spark, f"{sf_dir}/{name}[.]parquet", table(spark, sf_dir, name).schema)
 
 
+#: Parts in which the log arrives; the stream ends after each and starts again.
+ARRIVALS = 3
+
+
+def _arriving(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame], None]) -> None:
+    """Deliver the events in the order of time, in parts of about the same time span, and `run` a stream of the inbox after
+    each: state and offsets have to outlive every stop."""
+    inbox, events = work_path(spark, "inbox"), table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    part = F.least(F.floor((at - low) * ARRIVALS / F.lit((high or 0) - (low or 0) + 1)), F.lit(ARRIVALS - 1))
+    for k in range(ARRIVALS):
+        events.where(part == k).write.mode("append").parquet(inbox)
+        run(file_stream(spark, inbox, events.schema))
+
+
 def _events(stream: DataFrame) -> DataFrame:
     return stream.select(
         F.col("user_id").alias("charge_point_id"),
@@ -54,6 +73,13 @@ def _windows(df: DataFrame) -> DataFrame:
     )
 
 
+def _append_arriving(spark: SparkSession, sf_dir: str, counts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    path, progress = work_path(spark, "stream"), work_path(spark, "progress")
+    with rocksdb_state(spark):
+        _arriving(spark, sf_dir, lambda events: run_to_end(append_files(counts(events), path, progress)))
+    return read_parquet(spark, path)
+
+
 def _append(spark: SparkSession, stream: DataFrame, partition_by: tuple[str, ...] = ()) -> str:
     path = work_path(spark, "stream")
     with rocksdb_state(spark):
@@ -63,25 +89,31 @@ def _append(spark: SparkSession, stream: DataFrame, partition_by: tuple[str, ...
 
 @query(CLOSED_SQL)
 def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = windowed_status_counts(_events(_table_stream(spark, sf_dir, "events")), name="n")
-    return _windows(read_parquet(spark, _append(spark, counts)))
+    return _windows(
+        _append_arriving(spark, sf_dir, lambda events: windowed_status_counts(_events(events), name="n"))
+    )
 
 
 @query(COUNTS_SQL)
 def stream_window_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = windowed_status_counts(_events(_table_stream(spark, sf_dir, "events")), name="n")
-    path = work_path(spark, "live")
+    path, progress, keys = work_path(spark, "live"), work_path(spark, "progress"), ["charge_point_id", "status", "window"]
+
+    def run(events: DataFrame) -> None:
+        counts = windowed_status_counts(_events(events), name="n")
+        run_to_end(upsert_log(counts, path, progress, keys, compact_every=2))
+
     with rocksdb_state(spark):
-        run_to_end(upsert_log(counts, path, work_path(spark, "progress")))
-    changes = read_parquet(spark, path)
-    return _windows(latest_view(changes, ["charge_point_id", "status", "window"]))
+        _arriving(spark, sf_dir, run)
+    return _windows(current_view(spark, path, keys))
 
 
 @query(CLOSED_SQL)
 def stream_json_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = as_status_log(_table_stream(spark, sf_dir, "events"))
-    counts = windowed_status_counts(status_events(log), name="n")
-    return _windows(read_parquet(spark, _append(spark, counts)))
+    return _windows(
+        _append_arriving(
+            spark, sf_dir, lambda events: windowed_status_counts(status_events(as_status_log(events)), name="n")
+        )
+    )
 
 
 @query(CLOSED_SQL)
@@ -99,6 +131,28 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(read_parquet(spark, path))
 
 
+@query(
+    """WITH e AS (SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS second,
+                         CAST(epoch(time_bucket(INTERVAL '5 minutes', ts)) AS BIGINT) + 300
+                             <= (SELECT epoch(max(ts)) FROM events) - 600 AS behind FROM events)
+       SELECT event_id, second, 'on_time' AS kept, CASE WHEN behind THEN 1 ELSE 2 END AS times FROM e
+       UNION ALL SELECT event_id, second, 'late', 1 FROM e WHERE behind"""
+)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log arrives twice. What comes the second time behind the watermark is kept apart, all else is on time."""
+    inbox, path, progress = (work_path(spark, name) for name in ("inbox", "split", "progress"))
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for _ in range(2):
+        events.write.mode("append").parquet(inbox)
+        run_to_end(split_late(file_stream(spark, inbox, events.schema), path, progress, "ts"))
+    result = None
+    for kept in ("late", "on_time"):
+        rows = read_parquet(spark, f"{path}/{kept}").groupBy("event_id", epoch_seconds("ts").alias("second"))
+        counted = rows.agg(F.count("*").cast("int").alias("times")).withColumn("kept", F.lit(kept))
+        result = counted if result is None else result.unionByName(counted)
+    return result
+
+
 @query("SELECT CAST(event_id AS VARCHAR) AS message_id, event_type AS action, props AS body FROM events")
 def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     inbox = work_path(spark, "inbox")
@@ -106,7 +160,7 @@ def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.unionByName(events).repartition(4).write.parquet(inbox)  # four batches, in no order of time
     log = as_event_log(file_stream(spark, inbox, events.schema, files_per_batch=1))
     path = work_path(spark, "once")
-    run_to_end(append_first(log, path, work_path(spark, "progress")))
+    run_to_end(append_first(log, path, work_path(spark, "progress"), buckets=16, fan=2))
     return read_parquet(spark, path).select("message_id", "action", "body")
 
 

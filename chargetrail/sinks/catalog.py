@@ -23,6 +23,14 @@ def create_database(spark: SparkSession, name: str, location: str | None = None,
     return name
 
 
+def _literal(value: int | str | None) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, int):
+        return str(value)
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_external_table(
     spark: SparkSession,
     database: str,
@@ -51,7 +59,10 @@ def create_external_table(
     if partition_by and fmt.upper() != "DELTA":
         if added is None:
             spark.catalog.recoverPartitions(name)
-        for values in added or []:
-            spec = ", ".join(f"`{part}` = {values[part]!r}" for part in partition_by)
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
+        specs = [
+            "PARTITION (" + ", ".join(f"`{part}` = {_literal(values[part])}" for part in partition_by) + ")"
+            for values in added or []
+        ]
+        for at in range(0, len(specs), 500):
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(specs[at : at + 500]))
     return name

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from chargetrail.functions import table_name
 from chargetrail.operators.timeslice import DAY
+from chargetrail.storage import exists, remove
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -43,6 +47,45 @@ def write_partitioned(
     writer.save(path)
 
 
+SLICE = "slice"
+
+
+def write_slice(
+    df: DataFrame,
+    path: str,
+    name: str,
+    partition_by: tuple[str, ...] | list[str] = ("charge_point_id", *DAY),
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Write one slice, such as a minute's rows, into a table whose folders are shared by many slices; returns the
+    folders it has, a row of partition values each.
+
+    Below each folder the slice has one of its own, `slice=<name>`. Writing the slice again replaces all it had before, also
+    in folders where it has no rows any more, and leaves the other slices alone. Which folders a slice has is listed below
+    `path/_slices`: the old and new ones while it is written, then the new ones.
+    """
+    spark, columns = df.sparkSession, list(partition_by)
+    listed = f"{path}/_slices/{name}"
+    folders = df.select(columns).distinct()
+    had = [spark.read.schema(folders.schema).parquet(at) for at in (listed, f"{listed}.both") if exists(spark, f"{at}/_SUCCESS")]
+    left = None
+    if had:
+        old = reduce(DataFrame.unionByName, had).distinct().alias("old")
+        same = reduce(Column.__and__, [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in columns])
+        left = old.join(folders.alias("new"), same, "left_anti").collect()  # only folders that the slice leaves
+        if left:
+            both = folders.unionByName(spark.createDataFrame(left, folders.schema))
+            both.write.mode("overwrite").parquet(f"{listed}.both")
+    write_partitioned(df.withColumn(SLICE, F.lit(name)), path, [*columns, SLICE], "replace", fmt=fmt)
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for row in left or []:
+        parts = [escape(column, None if row[column] is None else str(row[column])) for column in columns]
+        remove(spark, "/".join([path, *parts, f"{SLICE}={name}"]))
+    folders.write.mode("overwrite").parquet(listed)
+    remove(spark, f"{listed}.both")
+    return spark.read.schema(folders.schema).parquet(listed)
+
+
 def write_routed(
     df: DataFrame,
     path: str,

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 from chargetrail.operators.timeslice import time_slice
 from chargetrail.schemas import EVENT_LOG
 from chargetrail.sources.index import with_row_index
+from chargetrail.sources.json_arrays import json_array_records, parsed_records
 
 
 def read_csv_log(
@@ -54,14 +55,15 @@ def read_json_records(
     index_by: list[str] | None = None,
     index_name: str = "index",
 ) -> DataFrame:
-    """JSON records, one per line (`lines`) or one array per file (`array`).
+    """JSON records, one per line (`lines`) or one array of objects per file (`array`).
 
-    An array file is parsed by one task, so prefer lines, or many files, for large logs.
-    `index_by` adds a dense 0..n row index in the order of these columns; an empty list keeps the
+    A large array file is cut and parsed by several tasks (`json_array_records`). `index_by` adds a dense 0..n row index in the order of these columns; an empty list keeps the
     order of the files.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.option("multiLine", layout == "array").json(path)
+    if layout == "array":
+        df = parsed_records(json_array_records(spark, path), schema)
+    else:
+        df = (spark.read if schema is None else spark.read.schema(schema)).json(path)
     return df if index_by is None else with_row_index(df, index_by, index_name)
 
 

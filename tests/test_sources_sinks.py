@@ -14,7 +14,9 @@ from chargetrail.sinks import (
     write_parquet,
     write_partitioned,
     write_routed,
+    write_slice,
 )
+from chargetrail.sources.json_arrays import json_array_records
 from chargetrail.sources import (
     has_delta,
     read_csv_log,
@@ -167,3 +169,71 @@ def test_a_day_is_a_day_whatever_columns_there_are(spark):
         assert table.transform(time_slice, when, DAY).count() == 2
         assert table.transform(time_slice, when).count() == 1
     assert df.transform(with_date_parts).where("year IS NULL").count() == 1
+
+
+def slice_rows(spark, path):
+    schema = "m string, v int, charge_point_id string, year int, month int, day int, slice string"
+    return sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).select("m", "charge_point_id", "day", "slice").collect())
+
+
+def test_slices_share_folders_and_are_replaced_as_one(spark, folder):
+    """Minutes of one day in the layout by charge point and day, with ids that begin with zeros."""
+    path = folder + "/log"
+
+    def write(stamp, *messages):
+        data = [(m, 1, cp, 2022, 1, 3) for m, cp in messages]
+        df = spark.createDataFrame(data, "m string, v int, charge_point_id string, year int, month int, day int")
+        return {r.charge_point_id for r in write_slice(df, path, stamp).collect()}
+
+    assert write("0101", ("a", "0012"), ("b", "7/x y=1"), ("c", None)) == {"0012", "7/x y=1", None}
+    write("0102", ("d", "0012"), ("e", "12"))
+    both = [("a", "0012", 3, "0101"), ("b", "7/x y=1", 3, "0101"), ("c", None, 3, "0101"), ("d", "0012", 3, "0102"), ("e", "12", 3, "0102")]
+    assert slice_rows(spark, path) == both
+    assert write("0101", ("a", "0012"), ("b", "7/x y=1"), ("c", None)) == {"0012", "7/x y=1", None}
+    assert slice_rows(spark, path) == both
+    # a charge point that the minute has no more loses its folder, the other minute none
+    assert write("0101", ("a2", "0012")) == {"0012"}
+    assert slice_rows(spark, path) == [("a2", "0012", 3, "0101"), *both[3:]]
+    assert write("0102") == set()
+    assert slice_rows(spark, path) == [("a2", "0012", 3, "0101")]
+
+
+ARRAY_OBJECTS = [
+    {"id": 1, "text": 'braces } { and "quotes" \\ in, strings [ ]', "more": {"a": [1, {"b": "}"}]}},
+    {"id": 2, "text": "", "more": None},
+    {"id": 3, "text": 'ends with a backslash \\', "more": {"a": []}},
+    {"id": 4, "text": '\\" }, {"id": 9, "text": "no"}', "more": {}},
+    *[{"id": i, "text": "}{" * (i % 5) + '"' * (i % 3), "more": {"a": [{"b": "{" * (i % 4)}] * (i % 3)}} for i in range(5, 400)],
+]
+ARRAY_SCHEMA = "id long, text string, more struct<a: array<struct<b: string>>>"
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_array_file_is_read_by_several_tasks(spark, folder, indent):
+    objects = [o for o in ARRAY_OBJECTS if o["id"] != 1]
+    with open(folder + "/a.json", "w", encoding="utf-8") as file:
+        json.dump(objects, file, indent=indent)
+    whole = spark.read.schema(ARRAY_SCHEMA).option("multiLine", True).json(folder + "/a.json")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        scan = spark.read.option("lineSep", "}").text(folder + "/a.json")
+        assert scan.rdd.getNumPartitions() > 5
+        got = read_json_records(spark, folder + "/a.json", ARRAY_SCHEMA, "array")
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, whole.collect())) and got.count() == len(objects)
+        numbered = json_array_records(spark, folder + "/a.json").orderBy("number").collect()
+        assert [json.loads(r.record) for r in numbered] == objects and [r.number for r in numbered] == list(range(len(objects)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_array_files_without_a_schema(spark, folder):
+    for name, data in (("a", ARRAY_OBJECTS[:3]), ("b", []), ("c", ARRAY_OBJECTS[3:5])):
+        with open(f"{folder}/{name}.json", "w", encoding="utf-8") as file:
+            json.dump(data, file)
+    open(folder + "/d.json", "w").close()
+    got = read_json_records(spark, folder, layout="array", index_by=["id"])
+    assert [(r["id"], r["text"], r["index"]) for r in got.orderBy("id").collect()] == [
+        (o["id"], o["text"], k) for k, o in enumerate(ARRAY_OBJECTS[:5])
+    ]
