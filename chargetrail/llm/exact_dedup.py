@@ -18,7 +18,11 @@ def normalised(text: str | Column = "text") -> Column:
 
 
 def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: str | None = None
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    digest: str | None = None,
+    mark: str | None = None,
 ) -> DataFrame:
     """Per row of `docs`: id, `keep_id`, `group_size` and `kept`, for groups of rows with equal normalised texts.
 
@@ -31,8 +35,8 @@ def exact_groups(
 
     The row with the smallest id stays. NULL and empty texts are equal. A NULL id is larger than any other; rows that
     repeat an id with an equal text are one document, so they are kept or dropped together, and each counts in
-    `group_size`. `digest` adds the SHA-256 of every row's normalised text under that name. Other columns are
-    ignored, whatever their names.
+    `group_size`. `digest` adds the SHA-256 of every row's normalised text under that name, `mark` a 64-bit hash of the text as
+    it is. Other columns are ignored, whatever their names; an empty table gives no rows.
     """
     whole = normalised("_text")
     base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
@@ -42,12 +46,13 @@ def exact_groups(
         F.length(whole).alias("_length"),
         F.xxhash64(F.substring(whole, 1, PREFIX)).alias("_prefix"),
         *([F.sha2(whole, 256).alias("_digest")] if digest else []),
+        *([F.xxhash64("_text").alias("_mark")] if mark else []),
     )
     short = materialise(rows.select("_length", "_prefix"), "prefixes")
     lengths = materialise(_repeated(short, ["_length"]), "lengths")
     prefixes = materialise(_repeated(short.join(lengths, "_length", "left_semi"), ["_length", "_prefix"]), "pairs")
 
-    extra = ["_digest"] if digest else []
+    extra = [*(["_digest"] if digest else []), *(["_mark"] if mark else [])]
     marked = rows.join(prefixes.withColumn("_again", F.lit(True)), ["_length", "_prefix"], "left")
     full = F.when(F.col("_again"), F.sha2(whole, 256)).alias("_full")
     fingerprints = materialise(marked.select("_id", "_length", full, *extra), "fingerprints")
@@ -64,6 +69,7 @@ def exact_groups(
         F.when(alone, F.lit(1)).otherwise(F.col("_size")).cast("long").alias("group_size"),
         F.col("_id").eqNullSafe(keep).alias("kept"),
         *([F.col("_digest").alias(digest)] if digest else []),
+        *([F.col("_mark").alias(mark)] if mark else []),
     )
 
 
@@ -74,11 +80,14 @@ def _repeated(df: DataFrame, keys: list[str]) -> DataFrame:
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without the rows that `exact_groups` does not keep, with all columns.
 
-    Rows with a NULL id can't be told apart by it, so they are all left.
+    Rows go by id and text, so of an id with several texts only copies of an earlier document go. Rows with a NULL id can't
+    be told apart, so they are all left; NULL and empty texts are equal.
     """
-    dropped = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_dropped"))
-    dropped = materialise(dropped.where("_dropped IS NOT NULL").distinct(), "dropped")
-    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
+    found = exact_groups(docs, id_col, text_col, mark="_mark").where(~F.col("kept"))
+    dropped = found.select(F.col(id_col).alias("_dropped"), "_mark").where("_dropped IS NOT NULL")
+    dropped = materialise(dropped.distinct(), "dropped")
+    same = (docs[id_col] == dropped["_dropped"]) & (F.xxhash64(docs[text_col]) == dropped["_mark"])
+    return docs.join(dropped, same, "left_anti")
 
 
 @query(
