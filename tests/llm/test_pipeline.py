@@ -1,9 +1,23 @@
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
 import duckdb
+import numpy as np
+import public_tokenizers
 import pytest
+import zstandard
+from tokenizers import Tokenizer
 
 import corpus_pipeline
+from chargetrail.llm import quality
 from chargetrail.llm.queries import CHECKS, QUERIES
 from chargetrail.llm.registry import read
+from tests.llm.conftest import DOCS, texts
+from tests.llm.test_near_links import brute
+from tests.llm.test_text_operators import filled
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,3 +51,118 @@ def test_stages_take_effect(spark):
             assert after == docs.selectExpr("regexp_replace(coalesce(text, ''), '[\\\\x20\\\\x09-\\\\x0D]+', ' ') t").distinct().count()
         docs = out
     assert set(out.columns) == {"doc_id", "n_tokens", "ids", "decoded"}
+
+
+def good_rows(rows, model):
+    """Rows that the model does not reject: bytes saved under the good dictionary, block by block."""
+
+    def size(data, dictionary):
+        own = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        c = zstandard.ZstdCompressor(level=3, dict_data=own, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return sum(len(c.compress(data[i : i + 2048])) for i in range(0, len(data), 2048))
+
+    out = []
+    for row in rows:
+        data = (row["text"] or "").encode()
+        x = (size(data, model.bad) - size(data, model.good)) / max(len(data), 1)
+        if 1 / (1 + math.exp(-(model.slope * x + model.intercept))) >= 0.5:
+            out.append(row)
+    return out
+
+
+def first_of_equal(rows):
+    norm = lambda row: re.sub("[\x20\x09-\x0d]+", " ", row["text"] or "")
+    first = {}
+    for row in rows:
+        if row["doc_id"] is not None:
+            first[norm(row)] = min(first.get(norm(row), row["doc_id"]), row["doc_id"])
+    return [row for row in rows if row["doc_id"] is None or row["doc_id"] == first[norm(row)]]
+
+
+def first_of_similar(rows):
+    decided, _ = brute([(row["doc_id"], row["text"]) for row in rows], 5, 80)
+    return [row for row, (doc, _, component) in zip(rows, decided) if doc is None or doc == component]
+
+
+def mixed(rows):
+    sizes, words = defaultdict(int), [len(re.findall("[^\x20\x09-\x0d]+", row["text"] or "")) for row in rows]
+    for row, size in zip(rows, words):
+        sizes[row["source"]] += size
+    targets, out = filled(sizes), []
+    for row in rows:
+        size, target = targets[row["source"]]
+        rate = target / size if size else 0
+        own = "null" if row["doc_id"] is None else str(row["doc_id"])
+        drawn = int(hashlib.md5(f"mix-1:{own}".encode()).hexdigest()[:13], 16) / 2**52
+        out += [row] * (math.floor(rate) + (drawn < rate - math.floor(rate)))
+    return out
+
+
+def tokens(rows):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    out = []
+    for row in rows:
+        ids = tokenizer.encode(row["text"] or "", add_special_tokens=False).ids
+        out.append((row["doc_id"], len(ids), np.array(ids, "<u4").tobytes(), tokenizer.decode(ids, skip_special_tokens=False)))
+    return out
+
+
+def compared(spark, docs, sf_dir):
+    """Every stage on what the one before has left, beside the same in plain Python."""
+    plain = docs.collect()
+    model = quality.train_quality(docs, read(spark, sf_dir, "labels"))
+    steps = [lambda rows: good_rows(rows, model), first_of_equal, first_of_similar, mixed, tokens]
+    for (name, stage), step in zip(corpus_pipeline.STAGES, steps):
+        docs = corpus_pipeline.materialise(stage(spark, docs, sf_dir), "compared")
+        plain = step(plain)
+        got = docs.select("doc_id", "n_tokens", "ids", "decoded").collect() if name.startswith("bpe") else docs.collect()
+        assert Counter(map(plainly, got)) == Counter(map(plainly, plain)), name
+    return plain
+
+
+def plainly(row):
+    return tuple(bytes(value) if isinstance(value, bytearray) else value for value in row)
+
+
+def test_every_stage_against_plain_python(spark):
+    docs = read(spark, SF, "documents")
+    last = compared(spark, docs, SF)
+    assert Counter(map(plainly, corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens", "ids", "decoded").collect())) == Counter(last)
+
+
+def test_stages_with_nulls_repeats_and_clashing_names(spark):
+    rows = [(i, t, "en", None if (i or 0) % 3 == 0 else f"s{(i or 0) % 4}", 1, "no", "x", None) for i, t in texts()]
+    rows += [(1, "another text under the id of a copy", "en", "s1", 1, "no", "x", None)]
+    assert compared(spark, spark.createDataFrame(rows, DOCS).repartition(3), SF)
+
+
+LABELLED = "/root/testdata/sf0.01"
+
+
+def held_out_rows(spark, name, label, folds, rest):
+    """The query's rows, checked against its contract, with the labels of the rows held out."""
+    got = QUERIES[name](spark, LABELLED)
+    assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
+    rows = got.collect()
+    documents = {r["doc_id"]: r["text"] for r in read(spark, LABELLED, "documents").collect()}
+    assert sorted(r["doc_id"] for r in rows) == sorted(documents)
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % folds == rest)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+    labels = {r["doc_id"]: r[label] for r in read(spark, LABELLED, "labels").collect()}
+    return rows, documents, [(r["predicted"], labels[r["doc_id"]]) for r in rows if r["held_out"] and labels.get(r["doc_id"]) is not None]
+
+
+def test_query_9_follows_its_contract(spark):
+    rows, documents, held_out = held_out_rows(spark, "op9_quality_classifier", "quality", 3, 1)
+    model = quality.train_quality(read(spark, LABELLED, "documents"), read(spark, LABELLED, "labels"))
+    good = {r["doc_id"] for r in good_rows([{"doc_id": i, "text": t} for i, t in documents.items()], model)}
+    assert {r["doc_id"] for r in rows if r["predicted"]} == good
+    assert sum(a == b for a, b in held_out) >= 0.95 * len(held_out) > 50
+
+
+def test_query_2_follows_its_contract(spark):
+    _, _, held_out = held_out_rows(spark, "op2_toxicity_counterfactual", "toxic", 5, 0)
+    assert sum(a == b for a, b in held_out) >= 0.94 * len(held_out) > 50  # 0.914 are not toxic
