@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chargetrail.storage import remove
+
 
 def build_session(app_name: str = "chargetrail", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs expect; `conf` keys use `__` for dots."""
@@ -44,8 +46,21 @@ def work_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="chargetrail-")
         spark.conf.set("spark.checkpoint.dir", base)
-    application = spark.sparkContext.applicationId
-    return f"{base.rstrip('/')}/chargetrail/{application}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark, base)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/chargetrail/{spark.sparkContext.applicationId}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Remove all that this application has written below `work_path`, once its results are read or stored elsewhere.
+
+    DataFrames that still read from there fail afterwards.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        remove(spark, _own_folder(spark, base))
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

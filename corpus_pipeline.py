@@ -54,7 +54,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("bpe encode and decode", tokenise),
 ]
 
-#: The classifier and the signatures are beyond SQL; tests hold every stage against brute force.
+#: The classifier and the signatures are beyond SQL; `tests/llm/test_pipeline.py` computes every stage's rows in plain Python.
 ORACLE_SQL = None
 
 

@@ -1,12 +1,13 @@
 import gzip
 import json
+import os
 from datetime import datetime
 
 import pytest
 
 from chargetrail.operators.timeslice import time_slice, with_date_parts
 from chargetrail.schemas import EVENT_LOG
-from chargetrail.session import materialise, work_path
+from chargetrail.session import clear_work, materialise, work_path
 from chargetrail.sinks import (
     create_database,
     create_external_table,
@@ -237,3 +238,19 @@ def test_array_files_without_a_schema(spark, folder):
     assert [(r["id"], r["text"], r["index"]) for r in got.orderBy("id").collect()] == [
         (o["id"], o["text"], k) for k, o in enumerate(ARRAY_OBJECTS[:5])
     ]
+
+
+def test_work_folders_can_be_cleared(spark, folder):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", folder + "/shared")
+    try:
+        kept = materialise(spark.range(3), "three")
+        assert kept.count() == 3 and os.listdir(folder + "/shared/chargetrail")
+        clear_work(spark)
+        assert os.listdir(folder + "/shared/chargetrail") == []
+        clear_work(spark)
+    finally:
+        if before is None:
+            spark.conf.unset("spark.checkpoint.dir")
+        else:
+            spark.conf.set("spark.checkpoint.dir", before)
