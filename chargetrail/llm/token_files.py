@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chargetrail.llm.chunked_bpe import tokenizer_spec
 from chargetrail.llm.registry import query, read
-from chargetrail.llm.tokens import before_spaces, shared_pieces
+from chargetrail.llm.tokens import Pieces, before_spaces
 from chargetrail.llm.words import pieces
 from chargetrail.session import materialise, work_path
 
@@ -23,22 +23,78 @@ ROWS_PER_INDEX = 1000
 END_ID = 0
 
 
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: White space and whatever some library may take for it.
+_BLANK = "\\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
+#: A line end that stands beside other white space or ends the text.
+_UNSAFE_LINE = re.compile(f"\n(?:$|[{_BLANK}])|[{_BLANK}]\n")
+#: Marks between a letter or digit and a cut; tokenizers cut before them as well.
+_MARKS = re.compile(f"(?<=[{_LETTERS}0-9])([!-&(-/:-@\\[-`{{-~]+)\0")
+_WORD = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+")
+
+
+def cut_text(text: str) -> list[str]:
+    """Cut a text where byte-level tokenizers surely cut it: before single spaces, around single line ends, and between a
+    word and the marks that end it. The ids of the parts, put together, are those of the text, special tokens included: texts
+    that may name one are cut before spaces only."""
+    parts = before_spaces(text)
+    if len(parts) > 1 and "\0" not in text and "<|" not in text:
+        joined = "\0".join(parts)
+        if "\n" in text and not _UNSAFE_LINE.search(text):
+            joined = joined.replace("\n", "\0\n\0")
+        return _MARKS.sub("\0\\1\0", joined).split("\0")
+    return parts
+
+
+class WordPieces(Pieces):
+    """A memo that gives single words, which are one match of the tokenizer's pattern, to its model as they are."""
+
+    def __init__(self, spec: str):
+        super().__init__(spec)
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        rest = (b for b in range(256) if b not in plain)
+        #: Byte-level tokenizers write other bytes as characters from U+0100 on.
+        self.alphabet = {b: 256 + i for i, b in enumerate(rest)}
+
+    def _encode(self, missing: dict[str, str | bytes]) -> None:
+        model, alphabet, rest = self.tokenizer.model, self.alphabet, {}
+        for piece, key in missing.items():
+            if _WORD.fullmatch(piece):
+                found = model.tokenize(piece.encode().decode("latin-1").translate(alphabet))
+                self.ids[key] = np.array([token.id for token in found], dtype="<u4").tobytes()
+                self.held += 8 * len(found) + len(piece)
+            else:
+                rest[piece] = key
+        super()._encode(rest)
+
+
+_LOADED: dict[str, WordPieces] = {}
+
+
+def shared_words(spec: str) -> WordPieces:
+    """One memo per Python worker, so tasks that follow each other share it."""
+    if spec not in _LOADED:
+        _LOADED.clear()
+        _LOADED[spec] = WordPieces(spec)
+    return _LOADED[spec]
+
+
 def encode_documents(
     docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID
 ) -> DataFrame:
     """`(doc_id, ids)` in ascending order of ids, by ranges: each text's token ids and then `end_id`.
 
-    Texts are cut before single spaces, where tokenizers that give a word its leading space cut as well, and each
-    distinct piece is encoded once per Python worker. The texts are shuffled once, before they are encoded.
+    Texts are cut where byte-level tokenizers surely cut as well (`cut_text`), and each distinct piece is encoded once per
+    Python worker while it is remembered. The texts are shuffled once, before they are encoded.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = shared_pieces(spec)
+        memo = shared_words(spec)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for group in pieces(texts):
-                cut = [before_spaces(texts[i] or "") for i in group]
+                cut = [cut_text(texts[i] or "") for i in group]
                 memo.learn({piece for row in cut for piece in row})
                 ids = memo.ids
                 encoded = [b"".join([ids[piece] for piece in row]) + end for row in cut]
@@ -73,53 +129,46 @@ def read_token_files(spark: SparkSession, path: str, schema: str = "doc_id long,
 
 
 def token_digests(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Per document of a scan: id, `n_tokens` and `ids_crc32` of the ids as little-endian unsigned 32-bit integers."""
+    """Per document of a scan of token files: id, `start` (ids of all documents before it), `n_tokens` and `ids_crc32` of the
+    ids as little-endian unsigned 32-bit integers.
+
+    Each part of a file that is read by one task (some stripes) adds up its own documents; parts follow each other in the
+    order of the ids, as the files are sorted. One sum per part is sent to all tasks.
+    """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = None, 0
         for batch in batches:
-            lists = batch.column(1)
+            lists, parts = batch.column(1), list(zip(*(batch.column(c).to_pylist() for c in (2, 3))))
             values = lists.values.to_numpy().astype("<u4", copy=False)
             ends = lists.offsets.to_numpy()
+            sizes, within = np.diff(ends).astype(np.int64), []
             crcs = [zlib.crc32(values[a:b]) for a, b in zip(ends, ends[1:])]
+            for own, size in zip(parts, sizes.tolist()):
+                if own != part:
+                    part, before = own, 0
+                within.append(before)
+                before += size
             yield pa.record_batch(
-                [batch.column(0), pa.array(np.diff(ends).astype(np.int64)), pa.array(crcs, pa.int64())],
-                names=["_id", "n_tokens", "ids_crc32"],
+                [batch.column(0), pa.array(sizes), pa.array(crcs, pa.int64()), pa.array(within, pa.int64()), *batch.columns[2:]],
+                names=["_id", "n_tokens", "ids_crc32", "within", "file", "block"],
             )
 
-    rows = files.select(F.col(id_col).alias("_id"), "ids")
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    rows = files.select(F.col(id_col).alias("_id"), "ids", *where)
     kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(digest, f"_id {kind}, n_tokens long, ids_crc32 long").withColumnRenamed("_id", id_col)
-
-
-def with_starts(counted: DataFrame, id_col: str = "doc_id", count: str = "n_tokens") -> DataFrame:
-    """Add `start`, the sum of `count` of all rows before in ascending order of ids (NULLs first; equal ids in the
-    order of their other columns).
-
-    Rows are sorted by ranges and summed within each; one sum per range meets in one place.
-    """
-    kept = [c for c in counted.columns if c != id_col]
-    rows = materialise(counted, "counted")
-
-    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            sizes = batch.column(batch.schema.names.index(count)).to_numpy()
-            ends = before + np.cumsum(sizes)
-            if len(ends):
-                before = int(ends[-1])
-            columns = [*batch.columns, pa.array(ends - sizes, pa.int64()), pa.array([part] * len(ends), pa.int32())]
-            yield pa.record_batch(columns, names=[*batch.schema.names, "_within", "_part"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    ranged = rows.repartitionByRange(id_col, *kept).sortWithinPartitions(id_col, *kept)
-    ranged = materialise(ranged.mapInArrow(running, f"{fields}, _within long, _part int"), "running")
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range: at most spark.sql.shuffle.partitions rows.
-    offsets = ranged.groupBy("_part").agg(F.sum(count).alias("_sum")).select(
-        "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before")
+    schema = f"_id {kind}, n_tokens long, ids_crc32 long, within long, file string, block long"
+    counted = materialise(rows.mapInArrow(digest, schema), "counted")
+    order = Window.orderBy(F.col("first").asc_nulls_first(), "last", "file", "block")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    # A row per part: a few thousand for every TB of tokens. A part with NULL ids, which come first, has them at its head.
+    some_null = F.max(F.col("_id").isNull())
+    parts = counted.groupBy("file", "block").agg(
+        F.sum("n_tokens").alias("tokens"), F.when(~some_null, F.min("_id")).alias("first"), F.max("_id").alias("last")
     )
-    return ranged.join(F.broadcast(offsets), "_part").select(
-        *rows.columns, (F.col("_before") + F.col("_within")).alias("start")
+    parts = parts.select("file", "block", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("before"))
+    return counted.join(F.broadcast(parts), ["file", "block"]).select(
+        F.col("_id").alias(id_col), (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 
@@ -131,8 +180,7 @@ def tokenise_to_orc(docs: DataFrame, spec: str, path: str) -> DataFrame:
     returned. Other columns are ignored, and an empty table gives no rows.
     """
     write_token_files(encode_documents(docs, spec), path)
-    counted = token_digests(read_token_files(docs.sparkSession, path))
-    return with_starts(counted).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_digests(read_token_files(docs.sparkSession, path))
 
 
 @query()

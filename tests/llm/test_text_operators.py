@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,6 +10,7 @@ from tokenizers import Tokenizer
 
 from chargetrail.llm import chunked_bpe, exact_dedup, mixing, near_dedup, passages, token_files
 from chargetrail.llm.components import connected_components
+from chargetrail.llm.registry import prepared
 from chargetrail.llm.words import Words, runs
 from tests.llm.conftest import texts
 
@@ -178,3 +180,59 @@ def test_orc_token_files(docs, no_docs, folder):
     assert "EqualTo(doc_id,12)" in plan
     assert scan.first()["ids"] == dict(coded)[12]
     assert token_files.tokenise_to_orc(no_docs, spec, f"{folder}/none").isEmpty()
+
+
+def test_cut_texts_have_the_ids_of_the_whole():
+    spec = chunked_bpe.tokenizer_spec("byte_bpe_50k.json")
+    memo, plain = token_files.WordPieces(spec), Tokenizer.from_str(spec)
+    draw = random.Random(8)
+    parts = ["one", " two", "Ünï", " ñé.", "\n", " ", "  ", ",", "...", " (x)", "&&&", "%", "'s", "'ll", "12", " 3.5", "中", "<|endoftext|>", "\t", "\0", "\r\n", "\u3000", "\u00a0", "a.b", "!'", "e\u0301"]
+    for _ in range(4000):
+        text = "".join(draw.choices(parts, k=draw.randint(0, 14)))
+        cut = token_files.cut_text(text)
+        memo.learn(cut)
+        assert b"".join(memo.ids[piece] for piece in cut) == bytes(as_bytes(plain.encode(text, add_special_tokens=False).ids)), repr(text)
+
+
+def scanned_rows(df):
+    """Rows that the scan has read from the files, after it has skipped what it could."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_orc_files_are_skipped_by_index_and_bloom_filter(spark, folder):
+    docs = prepared(spark).range(0, 20_000, 2).selectExpr("id AS doc_id", "concat('text ', id) AS text").coalesce(1)
+    spec = chunked_bpe.tokenizer_spec("byte_bpe_50k.json")
+    token_files.write_token_files(token_files.encode_documents(docs, spec).coalesce(1), f"{folder}/t")
+    scan = token_files.read_token_files(spark, f"{folder}/t")
+    jvm, name = spark._jvm, next(iter(scan.inputFiles()))
+    options = jvm.org.apache.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration())
+    reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(name), options)
+    assert reader.getRowIndexStride() == token_files.ROWS_PER_INDEX and reader.getNumberOfRows() == 10_000
+    assert reader.getStripes().get(0).getIndexLength() > 0
+    assert scanned_rows(scan.select("doc_id", "ids")) == 10_000
+    # the row index leaves the one group of rows that may hold the id
+    assert scanned_rows(scan.where("doc_id = 4444").select("doc_id", "ids")) <= token_files.ROWS_PER_INDEX
+    # odd ids lie within the groups' bounds: only the Bloom filter knows that they are missing
+    missing = [scanned_rows(scan.where(f"doc_id = {i}").select("doc_id", "ids")) for i in range(1001, 16_001, 1500)]
+    assert missing.count(0) >= len(missing) - 2
+
+
+def test_starts_over_several_files_and_stripes(spark, folder, monkeypatch):
+    monkeypatch.setattr(token_files, "STRIPE_BYTES", 4096)
+    rows = [(None if i % 97 == 0 else i // 3, "word " * (i % 50)) for i in range(4000)]
+    docs = prepared(spark).createDataFrame(rows, "doc_id long, text string").repartition(7)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        got = token_files.tokenise_to_orc(docs, chunked_bpe.tokenizer_spec("byte_bpe_50k.json"), f"{folder}/t").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+    ordered = sorted(got, key=lambda r: r["start"])
+    assert [r["start"] for r in ordered] == [0, *np.cumsum([r["n_tokens"] for r in ordered])[:-1].tolist()]
+    ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in ordered]
+    assert ids == sorted(ids)
