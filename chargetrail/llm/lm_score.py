@@ -17,8 +17,6 @@ from chargetrail.llm.registry import query, read
 from chargetrail.llm.words import Words, pieces, runs
 from chargetrail.session import materialise
 
-#: The smoothing takes the vocabulary to have 2 ** WORD_BITS words, or as many as both models have if these are more.
-WORD_BITS = 18
 #: Weight of the pair estimate against the smoothed single-word estimate, and what the latter adds to each count.
 MIXED, ADDED = 0.6, 0.5
 #: Characters of a block of texts, which asks for the counts of its different words and pairs at once.
@@ -194,14 +192,14 @@ def score_difference(
     the shard answers from both models' tables, and the block's texts are scored with its answers; a common pair is
     asked for once a block.
 
-    Both models have the same vocabulary, order and smoothing. Texts without words, NULL too, have losses and score 0.
+    Both models have the same vocabulary (the words of either), order and smoothing. Texts without words, NULL too, have losses and score 0.
     Repeated rows score alike; other columns are ignored; an empty table gives no rows.
     """
     bits = background.bits
     tables = target.dealt_by(bits).withColumn("block", F.lit(-1).cast("long")).unionByName(
         background.table.withColumn("block", F.lit(-2).cast("long"))
     )
-    size = max(1 << WORD_BITS, _vocabulary(tables))
+    size = max(_vocabulary(tables), 1)
     smooth = [int(model.words.sum()) + ADDED * size for model in (target, background)]
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,11 +7,15 @@ from chargetrail.llm import lm_score
 from tests.llm.conftest import texts
 
 
-def brute(rows, model_rows):
-    """Mean loss of each text under a pair model with the same smoothing, from plain counts."""
+def different_words(*texts):
+    return len({w.lower() for t in texts for w in (t or "").replace("\t", " ").replace("\n", " ").split(" ") if w})
+
+
+def brute(rows, model_rows, size):
+    """Mean loss of each text under a pair model with the same smoothing over `size` words, from plain counts."""
     split = [[w.lower() for w in (t or "").replace("\t", " ").replace("\n", " ").split(" ") if w] for t in model_rows]
     ones, twos = Counter(w for s in split for w in s), Counter(p for s in split for p in zip(s, s[1:]))
-    total = sum(ones.values()) + lm_score.ADDED * 2**lm_score.WORD_BITS
+    total = sum(ones.values()) + lm_score.ADDED * size
     out = []
     for t in rows:
         words = [w.lower() for w in (t or "").replace("\t", " ").replace("\n", " ").split(" ") if w]
@@ -31,7 +35,9 @@ def test_losses_equal_plain_counts(spark, docs, no_docs):
     near = ["w1 w2 w3 w4 one two words", "a a a a b", None]
     target = lm_score.count_model(spark.createDataFrame([(t,) for t in near], "text string"))
     got = {r["doc_id"]: r for r in lm_score.score_difference(df, target, lm_score.count_model(df)).collect()}
-    for (i, _), a, b in zip(plain, brute([t for _, t in plain], near), brute([t for _, t in plain], [t for _, t in plain])):
+    own = [t for _, t in plain]
+    size = different_words(*near, *own)
+    for (i, _), a, b in zip(plain, brute(own, near, size), brute(own, own, size)):
         assert got[i]["target_loss"] == pytest.approx(a, abs=1e-6)
         assert got[i]["background_loss"] == pytest.approx(b, abs=1e-6)
         assert got[i]["score"] == pytest.approx(b - a, abs=1e-6)
@@ -42,7 +48,7 @@ def test_losses_equal_plain_counts(spark, docs, no_docs):
 
 def test_more_words_than_places(spark):
     """Words and pairs beyond any fixed number of places keep counts of their own, in blocks that meet."""
-    n = 2**lm_score.WORD_BITS + 40_000
+    n = 300_000
     known = [" ".join(f"v{j}" for j in range(i, min(i + 4000, n))) for i in range(0, n, 4000)]
     strange = [(-1, "v1 v4001 v8001 v12001 v16001"), (-2, "never v5 v6 v5 seen v5"), (-3, None)]
     rows = [*enumerate(known), *strange, *[(-4, "v5 v6 v5")] * 2]
@@ -52,12 +58,8 @@ def test_more_words_than_places(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: r for r in lm_score.score_difference(docs, target, background).collect()}
 
-    different = len({w for t in known + near for w in t.split()})
-    bits, lm_score.WORD_BITS = lm_score.WORD_BITS, math.log2(different)
-    try:
-        wanted = zip(rows, brute([t for _, t in rows], near), brute([t for _, t in rows], known))
-    finally:
-        lm_score.WORD_BITS = bits
+    size, own = different_words(*known, *near), [t for _, t in rows]
+    wanted = zip(rows, brute(own, near, size), brute(own, known, size))
     for (i, _), a, b in wanted:
         assert got[i]["target_loss"] == pytest.approx(a, abs=1e-6)
         assert got[i]["background_loss"] == pytest.approx(b, abs=1e-6)
@@ -77,6 +79,7 @@ def test_models_with_other_shards(spark, monkeypatch):
     assert target.bits != background.bits
     got = {r["doc_id"]: r for r in lm_score.score_difference(docs, target, background).collect()}
     every = [t for _, t in rows]
-    for (i, _), a, b in zip(rows, brute(every, every[:10]), brute(every, every)):
+    size = different_words(*every)
+    for (i, _), a, b in zip(rows, brute(every, every[:10], size), brute(every, every, size)):
         assert got[i]["target_loss"] == pytest.approx(a, abs=1e-6)
         assert got[i]["background_loss"] == pytest.approx(b, abs=1e-6)
