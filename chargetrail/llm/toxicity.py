@@ -1,14 +1,16 @@
 """Toxicity classifier that does not react to which group a sentence mentions.
 
-A logistic regression on the presence of words and word beginnings. In every training text that mentions a group, the
-mention is swapped for others of its kind, and score changes between the two are penalised, so a group's name carries
-no weight of its own.
+A logistic regression on the presence of words and word beginnings. Every training text is also read with a group's name
+put into it, under the same label, and names take turns in either class alike. Names that a text has, or has been given, are
+swapped for others of their kind, and score changes between the two are penalised. So a name carries no weight of its own,
+also one that is only met in new texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -46,30 +48,47 @@ IDENTITIES = (
     ("frauen", "männer"),
     ("christen", "muslime", "juden"),
 )
-_KIND = {name: (group, i) for group in IDENTITIES for i, name in enumerate(group)}
 _MARKS = ".,;:!?\"'()[]"
+Names = tuple[tuple[str, ...], ...]
 
 
-def swapped(text: str) -> list[str]:
+def swapped(text: str, names: Names = IDENTITIES) -> list[str]:
     """The text with its group names replaced, once by the next and once by the previous name of each kind; none if
     the text names no group."""
     words = text.split(" ")
+    kinds = _kinds(names)
     found = {}
     for i, word in enumerate(words):
         bare = word.strip(_MARKS + "\n\t")
-        if bare.lower() in _KIND:
+        if bare.lower() in kinds:
             found[i] = bare
     out = []
     for by in (1, -1) if found else ():
         changed = list(words)
         for i, bare in found.items():
-            group, place = _KIND[bare.lower()]
+            group, place = kinds[bare.lower()]
             other = group[(place + by) % len(group)]
             changed[i] = words[i].replace(bare, other.capitalize() if bare[0].isupper() else other)
         out.append(" ".join(changed))
     return list(dict.fromkeys(t for t in out if t != text))
 
 
+@cache
+def _kinds(names: Names) -> dict[str, tuple[tuple[str, ...], int]]:
+    return {name: (group, i) for group in names for i, name in enumerate(group)}
+
+
+def mentions(y: np.ndarray, names: Names) -> list[tuple[str, str]]:
+    """For each label the name that is put into its text, and the one it is swapped for. Within each class all names take
+    turns, so that none is met more often in toxic texts."""
+    turns = [(name, group[(i + 1) % len(group)]) for group in names for i, name in enumerate(group)]
+    nth = np.zeros(len(y), dtype=int)
+    for label in np.unique(y):
+        own = y == label
+        nth[own] = np.arange(own.sum())
+    return [turns[k % len(turns)] for k in nth.tolist()] if turns else []
+
+
 def feature_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the features of all words (the word, and its first 4, 5, 6 and 8 bytes), and each key's word."""
     keys, owners = [words.hashes()], [np.arange(len(words.starts))]
@@ -123,6 +142,8 @@ class ToxicityModel:
     keys: np.ndarray
     weights: np.ndarray
     intercept: float
+    #: Pairs whose score changes were penalised.
+    pairs: int = 0
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         rows = text_features(texts, Vocabulary(self.keys))
@@ -156,8 +177,8 @@ class _Rows:
         return size
 
 
-def chosen_features(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """The features whose presence differs most between the classes, by chi-square."""
+def chosen_features(rows: list[np.ndarray], y: np.ndarray, most: int = MOST_FEATURES) -> np.ndarray:
+    """The `most` features whose presence differs most between the classes, by chi-square."""
     keys, counts = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *rows]), return_counts=True)
     ones_keys, ones = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *[r for r, t in zip(rows, y) if t]]), return_counts=True)
     a = np.zeros(len(keys))
@@ -166,52 +187,79 @@ def chosen_features(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     expected = counts / (n1 + n0)
     chi = (a / n1 - b / n0) ** 2 / np.maximum(expected * (1 - expected), 1e-12)
     chi[counts < LEAST_TEXTS] = 0
-    best = np.argsort(-chi, kind="stable")[:MOST_FEATURES]
+    best = np.argsort(-chi, kind="stable")[:most]
     return np.sort(keys[best[chi[best] > 0]])
 
 
-def fit(texts: list[str], y: np.ndarray, counts: dict[int, int]) -> ToxicityModel:
-    """Weights by accelerated gradient steps on: weighted log loss + L2 + penalty of squared score changes in swaps.
+def fit(
+    texts: list[str],
+    y: np.ndarray,
+    counts: dict[int, int],
+    names: Names = IDENTITIES,
+    penalty: float = SWAP_PENALTY,
+    most_features: int = MOST_FEATURES,
+) -> ToxicityModel:
+    """Weights by accelerated gradient steps on: weighted log loss + L2 + `penalty` times squared score changes in swaps.
 
-    Without texts of both classes the score is the share of label 1, or 0 without any label.
+    `most_features` bounds the features that are chosen for the labels; those of the `names` come on top, and without names
+    this is a plain regression. Without texts of both classes the score is the share of label 1, or 0 without any label.
     """
     if not (y == 0).any() or not (y == 1).any():
         share = min(max(counts.get(1, 0) / max(sum(counts.values()), 1), 1e-3), 1 - 1e-3)
         return ToxicityModel(np.zeros(0, dtype=np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
     features = text_features(texts)
-    pairs = [(i, other) for i, text in enumerate(texts) for other in swapped(text)]
+    pairs = [(i, other) for i, text in enumerate(texts) for other in swapped(text, names)]
     others = text_features([other for _, other in pairs])
     changed = [np.setxor1d(features[i], row, assume_unique=True) for (i, _), row in zip(pairs, others)]
-    keys = np.union1d(chosen_features(features, y), np.concatenate([np.zeros(0, dtype=np.uint64), *changed]))
+    flat = sorted({name for group in names for name in group})
+    keys = np.unique(np.concatenate([chosen_features(features, y, most_features), *changed, *text_features(flat)]))
     del features, others
-    places = text_features(texts, Vocabulary(keys))
-    swapped_places = text_features([other for _, other in pairs], Vocabulary(keys))
-    x = _Rows([(p, np.ones(len(p))) for p in places], len(keys))
+    vocabulary = Vocabulary(keys)
+    places = text_features(texts, vocabulary)
+    swapped_places = text_features([other for _, other in pairs], vocabulary)
+    compared = [(places[i], row) for (i, _), row in zip(pairs, swapped_places)]
+    named = dict(zip(flat, text_features(flat, vocabulary)))
+    given = [(np.union1d(row, named[a]), np.union1d(row, named[b])) for row, (a, b) in zip(places, mentions(y, names))]
+    compared += given
+    rows = places + [row for row, _ in given]
+    x = _Rows([(p, np.ones(len(p))) for p in rows], len(keys))
     differences = []
-    for (i, _), row in zip(pairs, swapped_places):
-        gone, new = np.setdiff1d(places[i], row), np.setdiff1d(row, places[i])
+    for one, other in compared:
+        gone, new = np.setdiff1d(one, other), np.setdiff1d(other, one)
         differences.append((np.concatenate([gone, new]), np.concatenate([np.ones(len(gone)), -np.ones(len(new))])))
     d = _Rows(differences, len(keys))
 
+    y = np.concatenate([y, y[: len(given)]])
     weights = class_weights(y, counts)
     n, m = len(y), max(d.height, 1)
-    rate = 1 / (0.25 * weights.max() * (x.norm() / n + 1) + SWAP_PENALTY * d.norm() / m + L2)
+    rate = 1 / (0.25 * weights.max() * (x.norm() / n + 1) + penalty * d.norm() / m + L2)
     w, b = np.zeros(len(keys)), 0.0
     at, at_b, t = w, b, 1.0
     for _ in range(STEPS):
         r = weights * (sigmoid(x.times(at) + at_b) - y) / n
-        new = at - rate * (x.back(r) + L2 * at + SWAP_PENALTY * d.back(d.times(at)) / m)
+        new = at - rate * (x.back(r) + L2 * at + penalty * d.back(d.times(at)) / m)
         new_b, next_t = at_b - rate * r.sum(), (1 + np.sqrt(1 + 4 * t * t)) / 2
         at, at_b = new + (t - 1) / next_t * (new - w), new_b + (t - 1) / next_t * (new_b - b)
         w, b, t = new, new_b, next_t
-    return ToxicityModel(keys, w, float(b))
+    return ToxicityModel(keys, w, float(b), d.height)
 
 
 def train_toxicity(
-    docs: DataFrame, labels: DataFrame, most_per_class: int = MOST_PER_CLASS, folds: int = FOLDS, held_out: int = HELD_OUT
+    docs: DataFrame,
+    labels: DataFrame,
+    most_per_class: int = MOST_PER_CLASS,
+    folds: int = FOLDS,
+    held_out: int = HELD_OUT,
+    names: Names = IDENTITIES,
+    penalty: float = SWAP_PENALTY,
+    most_features: int = MOST_FEATURES,
 ) -> ToxicityModel:
     """Fit on at most `most_per_class` labelled documents of each class (whole texts), in one task of that bounded
-    size; ids whose CRC fold is `held_out` are never used."""
+    size; ids whose CRC fold is `held_out` are never used.
+
+    `names` are the groups' names of the corpus's languages, in lower case, by kind. NULL and empty texts are texts without
+    words; ids with a NULL label or with both are not used.
+    """
     usable = F.coalesce(crc_fold("doc_id", folds) != held_out, F.lit(False))
     sample, counts = training_sample(docs, labels, "toxic", usable, most_per_class)
 
@@ -219,13 +267,16 @@ def train_toxicity(
         rows = pd.concat([pd.DataFrame({"text": [], "label": []}), *batches])
         rows["text"] = rows["text"].fillna("")
         rows = rows.sort_values(["text", "label"])
-        model = fit(rows["text"].tolist(), rows["label"].to_numpy(dtype=int), counts)
-        yield pd.DataFrame([{"keys": model.keys.tobytes(), "weights": model.weights.tobytes(), "intercept": model.intercept}])
+        model = fit(rows["text"].tolist(), rows["label"].to_numpy(dtype=int), counts, names, penalty, most_features)
+        data = {"keys": model.keys.tobytes(), "weights": model.weights.tobytes()}
+        yield pd.DataFrame([{**data, "intercept": model.intercept, "pairs": model.pairs}])
 
-    row = sample.repartition(1).mapInPandas(fit_sample, "keys binary, weights binary, intercept double").first()
+    schema = "keys binary, weights binary, intercept double, pairs long"
+    row = sample.repartition(1).mapInPandas(fit_sample, schema).first()
     if row is None:  # no labelled text, so no task
         return fit([], np.zeros(0, dtype=int), counts)
-    return ToxicityModel(np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["weights"], float), row["intercept"])
+    keys, weights = np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["weights"], float)
+    return ToxicityModel(keys, weights, row["intercept"], row["pairs"])
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -35,6 +35,61 @@ def test_toxicity_ignores_the_group_that_is_named():
     assert toxicity.swapped("no group") == []
 
 
+def test_neutral_mentions_with_and_without_the_penalty():
+    """Held-out neutral sentences about a group that the training texts mostly insult."""
+    rows = sentences(900, seed=7)
+    train, held_out = rows[:600], rows[600:]
+    y = np.array([label for _, _, label in train])
+    counts = {0: int((y == 0).sum()), 1: int(y.sum())}
+    plain = toxicity.fit([t for _, t, _ in train], y, counts, names=())
+    fair = toxicity.fit([t for _, t, _ in train], y, counts)
+    assert plain.pairs == 0 and fair.pairs >= len(train) + sum("women" in t for _, t, _ in train)
+    neutral = [t for _, t, label in held_out if not label]
+    about = [t for t in neutral if t.startswith("women ")]
+    other = [t.replace("women ", "men ", 1) for t in about]
+
+    def change(model):
+        return np.abs(model.scores(about) - model.scores(other)).mean()
+
+    assert change(fair) < 0.2 * change(plain) and change(fair) < 0.02
+    assert fair.scores(about).mean() < plain.scores(about).mean()
+    assert (fair.scores(about) >= 0.5).mean() <= (plain.scores(about) >= 0.5).mean()
+    right = [((model.scores([t for _, t, _ in held_out]) >= 0.5) == [label for _, _, label in held_out]).mean() for model in (plain, fair)]
+    assert right[1] >= right[0] - 0.01 > 0.95
+
+
+def test_penalty_is_the_sum_of_squared_changes():
+    """With a penalty the fitted weights have a smaller loss, penalty included, than any nearby ones; changes of scores are
+    those of whole swapped texts."""
+    rows = sentences(60, seed=2)
+    texts_, y = [t for _, t, _ in rows], np.array([label for _, _, label in rows])
+    names = (("women", "men", "elders"),)
+    model = toxicity.fit(texts_, y, {0: int((y == 0).sum()), 1: int(y.sum())}, names)
+    put = toxicity.mentions(y, names)
+    assert [a for (a, _), label in zip(put, y) if label][:4] == ["women", "men", "elders", "women"]
+    given = [(f"{t} {a}", f"{t} {b}") for t, (a, b) in zip(texts_, put)]
+    pairs = [(t, s) for t in texts_ for s in toxicity.swapped(t, names)] + given
+    assert model.pairs == len(pairs)
+    vocabulary = toxicity.Vocabulary(model.keys)
+    every = texts_ + [a for a, _ in given]
+    rows_ = toxicity.text_features(every, vocabulary)
+    sides = [toxicity.text_features(side, vocabulary) for side in zip(*pairs)]
+    labels = np.concatenate([y, y])
+
+    def loss(w, b):
+        z = np.array([w[r].sum() for r in rows_]) + b
+        changes = np.array([w[p].sum() - w[q].sum() for p, q in zip(*sides)])
+        log_loss = np.logaddexp(0, np.where(labels == 1, -z, z)).mean()
+        return log_loss + toxicity.L2 / 2 * (w**2).sum() + toxicity.SWAP_PENALTY / 2 * (changes**2).mean()
+
+    least = loss(model.weights, model.intercept)
+    draw = np.random.default_rng(1)
+    for size in (1e-2, 1e-1):
+        for _ in range(50):
+            step = size * draw.normal(size=len(model.weights))
+            assert loss(model.weights + step, model.intercept + size * draw.normal()) > least - 1e-4
+
+
 @pytest.mark.parametrize("train, score, label", [
     (toxicity.train_toxicity, toxicity.score_toxicity, "toxic"),
     (quality.train_quality, quality.score_quality, "quality"),
