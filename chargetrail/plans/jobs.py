@@ -43,6 +43,9 @@ from chargetrail.sinks import create_database, create_external_table, write_parq
 from chargetrail.sinks.files import SLICE
 from chargetrail.sources import read_csv_log, read_last_minute, read_parquet
 
+#: Bytes of a row group of the bronze table.
+BRONZE_GROUP = 8 << 20
+
 SILVER = {message.table: message for message in SILVER_CLASSES}
 
 
@@ -115,8 +118,11 @@ def cdr_from_log(
 
 
 def write_bronze(log: DataFrame, path: str) -> None:
-    """Bronze: the raw log as Parquet, one folder per message class, parsed from its source once."""
-    write_partitioned(log, path, ["action", "message_type"], mode="overwrite")
+    """Bronze: the raw log as Parquet, one folder per message class, parsed from its source once.
+
+    Bodies are costly to parse for their size. Small row groups let several tasks share a file.
+    """
+    write_partitioned(log, path, ["action", "message_type"], mode="overwrite", options={"parquet.block.size": BRONZE_GROUP})
 
 
 def write_silver(bronze: DataFrame, base: str, classes: list[MessageClass] | None = None) -> None:

@@ -25,6 +25,7 @@ def write_partitioned(
     sort_within: tuple[str, ...] | list[str] = (),
     fmt: str = "parquet",
     rebalance: bool = True,
+    options: dict[str, object] | None = None,
 ) -> None:
     """Write a folder per partition value.
 
@@ -33,13 +34,13 @@ def write_partitioned(
     tasks. With a handful of partition values `rebalance=False` saves that shuffle: every task then
     writes one file per value it meets. `mode="replace"` replaces just the partitions present in `df`, so that a repeated run
     leaves the same table; `append` adds files. `sort_within` clusters rows inside the files so
-    that scans skip row groups on these columns.
+    that scans skip row groups on these columns. `options` are those of Spark's writer.
     """
     partition_by = list(partition_by)
     placed = df.hint("rebalance", *partition_by) if rebalance else df
     if sort_within:
         placed = placed.sortWithinPartitions(*partition_by, *sort_within)
-    writer = placed.write.format(fmt).partitionBy(*partition_by)
+    writer = placed.write.format(fmt).partitionBy(*partition_by).options(**(options or {}))
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
