@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from itertools import compress
 
@@ -21,6 +22,8 @@ WINDOW = 13
 #: Text that a task gathers before it deals out window hashes, so that each shard gets few large rows of them.
 GATHERED = 12 << 20
 _LAST = np.iinfo(np.int64).max
+#: A row without an id is dealt as `_LAST` less its bucket; ids above this are not those of documents.
+_NO_ID = _LAST - (1 << 24)
 _PRIME, _FACTOR = 2_147_483_647, 1_103_515_245
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -45,17 +48,22 @@ def _window_rows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _deal_windows(docs: DataFrame, window: int, shards: int) -> DataFrame:
-    """Rows of (`shard`, packed `docs`, `hashes`): all window hashes with their documents, by shards of the hash.
+    """Rows of (`shard`, packed `docs`, `hashes`): all windows' hashes with their documents, by shards of the hash.
 
     The shard is drawn from the hash by another function than the stored 64 bits' order, and rows of a shard are
-    in order of documents.
+    in order of documents. Of a window that several documents of a task have, only what decides is dealt (`_deciding`), so a
+    shard gets no more rows of it than there are buckets and tasks, whatever share of the documents has it.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, hashes, size = [], [], 0
         for batch in batches:
-            own = np.array([_LAST if i is None else i for i in batch.column(0).to_pylist()], dtype=np.int64)
             texts = batch.column(1).to_pylist()
+            own = [
+                _LAST - zlib.crc32((texts[place] or "").encode()) % shards if i is None else i
+                for place, i in enumerate(batch.column(0).to_pylist())
+            ]
+            own = np.array(own, dtype=np.int64)
             for group in pieces(texts):
                 words = Words([texts[i] for i in group])
                 _, found, _, text = _window_rows(words, window)
@@ -71,7 +79,32 @@ def _deal_windows(docs: DataFrame, window: int, shards: int) -> DataFrame:
     return docs.mapInArrow(deal, "shard int, docs binary, hashes binary")
 
 
+def _deciding(ids: np.ndarray, hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the documents (and hashes) of each window: the last one of every bucket, and the first of all.
+
+    A bucket learns of a window if any of its documents comes after the first that has it.
+    """
+    order = np.argsort(hashes)
+    ids, hashes = ids[order], hashes[order]
+    same = np.append(hashes[1:] == hashes[:-1], False) if len(hashes) else np.zeros(0, bool)
+    several = same | np.append(False, same[:-1])[: len(hashes)]
+    own, marks = ids[several], hashes[several]
+    bucket = _buckets_of(own, buckets)
+    order = np.lexsort((own, bucket, marks))
+    own, marks, bucket = own[order], marks[order], bucket[order]
+    last = np.append((marks[1:] != marks[:-1]) | (bucket[1:] != bucket[:-1]), True)[: len(marks)]
+    heads = np.flatnonzero(np.append(True, marks[1:] != marks[:-1])[: len(marks)])
+    firsts = np.minimum.reduceat(own, heads) if len(heads) else own
+    kept = np.minimum.reduceat(np.where(last, own, _LAST), heads) if len(heads) else own
+    gone = firsts < kept
+    return (
+        np.concatenate([ids[~several], own[last], firsts[gone]]),
+        np.concatenate([hashes[~several], marks[last], marks[heads][gone]]),
+    )
+
+
 def _dealt(ids: np.ndarray, hashes: np.ndarray, shards: int) -> pa.RecordBatch:
+    ids, hashes = _deciding(ids, hashes, shards)
     shard = ((mix(hashes * _SPREAD) >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
     order = np.lexsort((ids, shard))
     ids, hashes, shard = ids[order], hashes[order], shard[order]
@@ -93,9 +126,16 @@ def _bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
     return (ids % _PRIME * _FACTOR) % _PRIME % buckets
 
 
-def _bucket_column(ids: Column, buckets: int) -> Column:
+def _buckets_of(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """The buckets of documents as they are dealt; one without an id tells it."""
+    return np.where(ids > _NO_ID, _LAST - ids, _bucket(ids, buckets))
+
+
+def _bucket_column(ids: Column, texts: Column, buckets: int) -> Column:
     prime = F.lit(_PRIME).cast("long")
-    return F.pmod(F.pmod(F.pmod(ids, prime) * F.lit(_FACTOR).cast("long"), prime), F.lit(buckets)).cast("int")
+    known = F.pmod(F.pmod(F.pmod(ids, prime) * F.lit(_FACTOR).cast("long"), prime), F.lit(buckets))
+    unknown = F.pmod(F.crc32(F.coalesce(texts, F.lit("")).cast("binary")), F.lit(buckets))
+    return F.when(ids.isNull(), unknown).otherwise(known).cast("int")
 
 
 def _recurring(dealt: DataFrame, buckets: int) -> DataFrame:
@@ -109,10 +149,10 @@ def _recurring(dealt: DataFrame, buckets: int) -> DataFrame:
         order = np.argsort(hashes)
         ids, hashes = ids[order], hashes[order]
         heads = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+        bucket, ids = _buckets_of(ids, buckets), np.where(ids > _NO_ID, _LAST, ids)
         owners = np.repeat(np.minimum.reduceat(ids, heads), np.diff(np.append(heads, len(ids))))
         later = ids > owners
-        ids, hashes, owners = ids[later], hashes[later], owners[later]
-        bucket = _bucket(ids, buckets)
+        bucket, hashes, owners = bucket[later], hashes[later], owners[later]
         order = np.lexsort((hashes, owners, bucket))
         bucket, hashes, owners = bucket[order], hashes[order], owners[order]
         fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (bucket[1:] != bucket[:-1]))[: len(hashes)]
@@ -189,8 +229,8 @@ def repeated_passages(
 
     There are twice `spark.sql.shuffle.partitions` shards and buckets: set it so that a bucket, its texts and about as
     much again, fits a task. Texts with fewer words lose nothing, and NULL has no words. A NULL id counts as larger than all
-    others; rows that repeat an id are one document and don't remove each other's words. Ids are integers. Other
-    columns are ignored; an empty table gives no rows.
+    others, and such rows are dealt by their texts; rows that repeat an id, or have none, don't remove each other's words.
+    Ids are integers below 2^63 - 2^24. Other columns are ignored; an empty table gives no rows.
     """
     shards = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
@@ -226,7 +266,7 @@ def repeated_passages(
         )
 
     result = "kept_text" if texts else "kept_sha256"
-    numbered = rows.withColumn("bucket", _bucket_column(F.coalesce("_id", F.lit(int(_LAST))), shards))
+    numbered = rows.withColumn("bucket", _bucket_column(F.col("_id"), F.col("_text"), shards))
     return (
         numbered.groupBy("bucket")
         .cogroup(lists.groupBy("bucket"))

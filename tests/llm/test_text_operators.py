@@ -236,3 +236,35 @@ def test_starts_over_several_files_and_stripes(spark, folder, monkeypatch):
     assert [r["start"] for r in ordered] == [0, *np.cumsum([r["n_tokens"] for r in ordered])[:-1].tolist()]
     ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in ordered]
     assert ids == sorted(ids)
+
+
+def test_only_deciding_documents_are_dealt():
+    """A window that all documents have is dealt once per bucket, and for its first document."""
+    draw = np.random.default_rng(2)
+    ids = np.concatenate([np.arange(5000), draw.integers(0, 5000, 3000), np.repeat(passages._LAST - np.arange(3), 40)])
+    hashes = np.concatenate([np.full(5000, 7), draw.integers(100, 900, 3000), np.full(120, 7)]).astype(np.uint64)
+    some, marks = passages._deciding(ids, hashes, 16)
+    assert (marks == 7).sum() <= 16 + 1 + 3 and len(some) < len(ids) / 2
+
+    def decided(ids, hashes):
+        least, out = {}, set()
+        real = [None if i > passages._NO_ID else i for i in ids.tolist()]
+        for i, h in zip(real, hashes.tolist()):
+            if i is not None:
+                least[h] = min(least.get(h, i), i)
+        for i, h, bucket in zip(real, hashes.tolist(), passages._buckets_of(ids, 16).tolist()):
+            if h in least and (i is None or i > least[h]):
+                out.add((h, bucket, least[h]))
+        return out
+
+    assert decided(some, marks) == decided(ids, hashes)
+    assert [len(x) for x in passages._deciding(ids[:0], hashes[:0], 16)] == [0, 0]
+
+
+def test_rows_without_an_id_are_spread(spark):
+    rows = [(None, f"{k} " + " ".join(f"w{i}" for i in range(20))) for k in range(40)] + [(5, " ".join(f"w{i}" for i in range(20)))]
+    docs = prepared(spark).createDataFrame(rows, "doc_id long, text string").repartition(3)
+    numbered = docs.select(passages._bucket_column(docs["doc_id"], docs["text"], 8).alias("b"))
+    assert numbered.distinct().count() > 4
+    got = Counter((r["doc_id"], r["n_removed"]) for r in passages.repeated_passages(docs).collect())
+    assert got == {(None, 20): 40, (5, 0): 1}
