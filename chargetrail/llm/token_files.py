@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chargetrail.llm.chunked_bpe import tokenizer_spec
 from chargetrail.llm.registry import query, read
-from chargetrail.llm.tokens import Pieces, before_spaces
+from chargetrail.llm.tokens import UNSAFE_SPACE, Pieces, before_spaces
 from chargetrail.llm.words import pieces
 from chargetrail.session import materialise, work_path
 
@@ -23,31 +24,29 @@ ROWS_PER_INDEX = 1000
 END_ID = 0
 
 
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: White space and whatever some library may take for it.
 _BLANK = "\\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
 #: A line end that stands beside other white space or ends the text.
-_UNSAFE_LINE = re.compile(f"\n(?:$|[{_BLANK}])|[{_BLANK}]\n")
-#: Marks between a letter or digit and a cut; tokenizers cut before them as well.
-_MARKS = re.compile(f"(?<=[{_LETTERS}0-9])([!-&(-/:-@\\[-`{{-~]+)\0")
-_WORD = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+")
+_UNSAFE_LINE = re.compile(f"\n(?:(?<=[{_BLANK}]\n)|(?=[{_BLANK}])|$)")
+#: Letters that all libraries take for such, and marks that never are part of a contraction.
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def cut_text(text: str) -> list[str]:
-    """Cut a text where byte-level tokenizers surely cut it: before single spaces, around single line ends, and between a
-    word and the marks that end it. The ids of the parts, put together, are those of the text, special tokens included: texts
-    that may name one are cut before spaces only."""
-    parts = before_spaces(text)
-    if len(parts) > 1 and "\0" not in text and "<|" not in text:
-        joined = "\0".join(parts)
-        if "\n" in text and not _UNSAFE_LINE.search(text):
-            joined = joined.replace("\n", "\0\n\0")
-        return _MARKS.sub("\0\\1\0", joined).split("\0")
-    return parts
+    """Cut a text where byte-level tokenizers surely cut it: before single spaces and around single line ends. The ids of the
+    parts, put together, are those of the text."""
+    if "\0" in text or UNSAFE_SPACE.search(text):
+        return before_spaces(text)
+    marked = text.replace(" ", "\0 ")
+    if "\n" in text and not _UNSAFE_LINE.search(text):
+        marked = marked.replace("\n", "\0\n\0")
+    return marked.split("\0")
 
 
 class WordPieces(Pieces):
-    """A memo that gives single words, which are one match of the tokenizer's pattern, to its model as they are."""
+    """A memo that gives single words, and the marks that end them, to the tokenizer's model as they are: its pattern
+    cuts between a word and a mark, and a run of either is one match."""
 
     def __init__(self, spec: str):
         super().__init__(spec)
@@ -57,12 +56,26 @@ class WordPieces(Pieces):
         self.alphabet = {b: 256 + i for i, b in enumerate(rest)}
 
     def _encode(self, missing: dict[str, str | bytes]) -> None:
-        model, alphabet, rest = self.tokenizer.model, self.alphabet, {}
+        rest, held, older = {}, self.ids, self.older[0]
+        tokenize = self.tokenizer.model.tokenize
+
+        def one(match: str) -> bytes:
+            ids = held.get(match) or older.get(match)
+            if ids is None:
+                if match.isascii():
+                    match_name = "\u0120" + match[1:] if match[0] == " " else match
+                else:
+                    match_name = match.encode().decode("latin-1").translate(self.alphabet)
+                ids = held[match] = array("I", [token.id for token in tokenize(match_name)]).tobytes()
+                self.held += len(ids) + len(match)
+            return ids
+
         for piece, key in missing.items():
-            if _WORD.fullmatch(piece):
-                found = model.tokenize(piece.encode().decode("latin-1").translate(alphabet))
-                self.ids[key] = np.array([token.id for token in found], dtype="<u4").tobytes()
-                self.held += 8 * len(found) + len(piece)
+            word = piece if piece[-1:].isalnum() else piece.rstrip(_MARKS)
+            body = word[1:] if word[:1] == " " else word
+            if body.isalpha() and (body.isascii() or _WORD.fullmatch(body)):
+                held[key] = one(word) + one(piece[len(word) :]) if len(word) < len(piece) else one(word)
+                self.held += len(piece)
             else:
                 rest[piece] = key
         super()._encode(rest)

@@ -18,7 +18,7 @@ MOST_BYTES = 48 << 20
 LINE = 64
 
 #: A space that is followed by another space or by anything that some library takes for one, or ends the text.
-_UNSAFE = re.compile("[ ](?:$|[\\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿])")
+UNSAFE_SPACE = re.compile("[ ](?:$|[\\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿])")
 
 
 def load(spec: str) -> Tokenizer:
@@ -40,13 +40,13 @@ def before_spaces(text: str) -> list[str]:
     Tokenizers that give a word its leading space always cut there, so the ids of the parts, put together, are those
     of the text. Other spaces stay inside a part.
     """
-    if "\0" not in text and not _UNSAFE.search(text):
+    if "\0" not in text and not UNSAFE_SPACE.search(text):
         return text.replace(" ", "\0 ").split("\0")
     out = [""]
     for place, part in enumerate(text.split(" ")):
         if place == 0:
             out[0] = part
-        elif _UNSAFE.match(" " + part[:1]):
+        elif UNSAFE_SPACE.match(" " + part[:1]):
             out[-1] += " " + part
         else:
             out.append(" " + part)
