@@ -36,21 +36,25 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the cluster's shared folder (`spark.checkpoint.dir`).
 
     Paths are grouped by application, so that the files of finished ones can be removed. Only a
-    local master may run without that setting; there a temporary folder is chosen once and kept in
-    the session.
+    local master may run without that setting; there a temporary folder is chosen once per
+    application.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+#: Temporary folders of local sessions without a setting, by application.
+_LOCAL: dict[str, str] = {}
+
+
+def _own_folder(spark: SparkSession) -> str:
+    application = spark.sparkContext.applicationId
+    base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL.get(application)
     if not base:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="chargetrail-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{_own_folder(spark, base)}/{name}-{uuid.uuid4().hex}"
-
-
-def _own_folder(spark: SparkSession, base: str) -> str:
-    return f"{base.rstrip('/')}/chargetrail/{spark.sparkContext.applicationId}"
+        base = _LOCAL[application] = tempfile.mkdtemp(prefix="chargetrail-")
+    return f"{base.rstrip('/')}/chargetrail/{application}"
 
 
 def clear_work(spark: SparkSession) -> None:
@@ -58,9 +62,7 @@ def clear_work(spark: SparkSession) -> None:
 
     DataFrames that still read from there fail afterwards.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        remove(spark, _own_folder(spark, base))
+    remove(spark, _own_folder(spark))
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 
+from chargetrail import session
 from chargetrail.operators.timeslice import time_slice, with_date_parts
 from chargetrail.schemas import EVENT_LOG
 from chargetrail.session import clear_work, materialise, work_path
@@ -240,17 +241,26 @@ def test_array_files_without_a_schema(spark, folder):
     ]
 
 
-def test_work_folders_can_be_cleared(spark, folder):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", folder + "/shared")
-    try:
-        kept = materialise(spark.range(3), "three")
-        assert kept.count() == 3 and os.listdir(folder + "/shared/chargetrail")
-        clear_work(spark)
-        assert os.listdir(folder + "/shared/chargetrail") == []
-        clear_work(spark)
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_work_folders_can_be_cleared(spark):
+    kept = materialise(spark.range(3), "three")
+    own = os.path.dirname(work_path(spark, "x").removeprefix("file:"))
+    assert kept.count() == 3 and own.endswith(spark.sparkContext.applicationId) and os.listdir(own)
+    clear_work(spark)
+    assert not os.path.exists(own)
+    clear_work(spark)
+
+
+class Unset:
+    """A session of which only the setting is asked, which it does not have."""
+
+    def __init__(self, spark, master):
+        self.sparkContext = type("Context", (), {"applicationId": "app-1", "master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+
+
+def test_only_a_local_master_needs_no_shared_folder(spark):
+    first, second = (work_path(Unset(spark, "local[2]"), "x") for _ in range(2))
+    assert os.path.dirname(first) == os.path.dirname(second) and first != second
+    session._LOCAL.pop("app-1")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_path(Unset(spark, "spark://master:7077"), "x")
