@@ -148,7 +148,7 @@ def test_catalog(spark, folder):
 
 def test_work_folder(spark):
     path = work_path(spark, "x")
-    assert path.startswith(spark.conf.get("spark.checkpoint.dir")) and path != work_path(spark, "x")
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir", "/")) and path != work_path(spark, "x")
     assert rows(materialise(spark.range(3), "x")) == [(0,), (1,), (2,)]
 
 
