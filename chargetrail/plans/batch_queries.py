@@ -63,6 +63,9 @@ from chargetrail.sources import (
     read_table,
 )
 
+#: Records of a compressed CSV file that is read again, some 50 MB of text.
+CSV_RECORDS = 100_000
+
 WIDE = tuple(message.wide_ids() for message in SILVER_CLASSES)
 WIDE_START_REQUEST, WIDE_START_RESPONSE, WIDE_STOP_REQUEST, WIDE_METER_VALUES = WIDE
 
@@ -665,7 +668,9 @@ def charge_data_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CDR_SQL.format(meters="meter_start, meter_stop, ", energy=KWH_USED_SQL))
 def medallion_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = work_path(spark, "medallion-csv")
-    charging_log(spark, sf_dir).write.option("header", True).csv(source)
+    # As text the log is some forty times as large as its tables. A compressed file is one split, so it must be short.
+    writer = charging_log(spark, sf_dir).write.option("maxRecordsPerFile", CSV_RECORDS)
+    writer.option("header", True).option("compression", "gzip").csv(source)
     return _epochs(jobs.medallion(spark, source, work_path(spark, "medallion"), WIDE))
 
 

@@ -45,6 +45,8 @@ from chargetrail.sources import read_csv_log, read_last_minute, read_parquet
 
 #: Bytes of a row group of the bronze table.
 BRONZE_GROUP = 8 << 20
+#: Writer options of bronze, silver and gold: message texts take about half of what they take by default.
+LAKE = {"compression": "zstd"}
 
 SILVER = {message.table: message for message in SILVER_CLASSES}
 
@@ -120,15 +122,18 @@ def cdr_from_log(
 def write_bronze(log: DataFrame, path: str) -> None:
     """Bronze: the raw log as Parquet, one folder per message class, parsed from its source once.
 
-    Bodies are costly to parse for their size. Small row groups let several tasks share a file.
+    There are a handful of classes, so a task writes a file for each that it meets. The log is not shuffled for that: its
+    texts would lie on the executors' disks once more, for as long as the session keeps the shuffle. Bodies are costly to
+    parse for their size. Small row groups let several tasks share a file.
     """
-    write_partitioned(log, path, ["action", "message_type"], mode="overwrite", options={"parquet.block.size": BRONZE_GROUP})
+    options = {"parquet.block.size": BRONZE_GROUP, **LAKE}
+    write_partitioned(log, path, ["action", "message_type"], mode="overwrite", rebalance=False, options=options)
 
 
 def write_silver(bronze: DataFrame, base: str, classes: list[MessageClass] | None = None) -> None:
     """Silver: one flattened table per message class; each reads only its bronze folder."""
     for message in classes or SILVER_CLASSES:
-        write_parquet(silver(bronze, message), f"{base}/{message.table}")
+        write_parquet(silver(bronze, message), f"{base}/{message.table}", LAKE)
 
 
 def write_gold(spark: SparkSession, silver_base: str, path: str, **options) -> None:
@@ -137,7 +142,7 @@ def write_gold(spark: SparkSession, silver_base: str, path: str, **options) -> N
     started = started_transactions(tables[START_RESPONSE.table], tables[START_REQUEST.table])
     power = import_power(tables[METER_VALUES.table])
     cdr = gold_cdr(materialise(started, "started"), tables[STOP_REQUEST.table], power, **options)
-    write_parquet(cdr, path)
+    write_parquet(cdr, path, LAKE)
 
 
 def medallion(

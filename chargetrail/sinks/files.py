@@ -12,9 +12,9 @@ from chargetrail.operators.timeslice import DAY
 from chargetrail.storage import exists, remove
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    """Overwrite a Parquet table."""
-    df.write.mode("overwrite").parquet(path)
+def write_parquet(df: DataFrame, path: str, options: dict[str, object] | None = None) -> None:
+    """Overwrite a Parquet table; `options` are those of Spark's writer."""
+    df.write.mode("overwrite").options(**(options or {})).parquet(path)
 
 
 def write_partitioned(

@@ -6,6 +6,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, queries
+from chargetrail import session
 from chargetrail.plans.registry import CHECKS, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -50,3 +51,13 @@ def test_query_matches_sql(spark, tables, name):
 def test_entry(spark):
     df = entry(spark)
     assert df.columns[:2] == ["charge_point_id", "transaction_id"] and df.count() > 0
+
+
+def test_medallion_text_log_takes_little_disk(spark, folder, monkeypatch):
+    """The log as plain text is some fifty times as large as the tables it is derived from."""
+    sf_dir = "/root/testdata/sf0.01"
+    monkeypatch.setattr(session, "_own_folder", lambda spark: folder)
+    assert queries()["medallion_tables"](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    written = sum(os.path.getsize(os.path.join(at, name)) for at, _, names in os.walk(folder) for name in names)
+    tables = sum(os.path.getsize(f"{sf_dir}/{name}.parquet") for name in ("orders", "lineitem"))
+    assert 0 < written < 15 * tables
