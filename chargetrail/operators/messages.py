@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from chargetrail.functions import parse_timestamp, rounded_double
-from chargetrail.schemas import ENVELOPE, IMPORT_POWER, MessageClass
+from chargetrail.schemas import ENVELOPE, IMPORT_POWER, METER_POWER, MessageClass
 
 CORRUPT = "_corrupt_body"
 
@@ -28,14 +28,20 @@ def unpack_json(
     into: str = "new_body",
     other_names: dict[str, str] | None = None,
     keep_corrupt: bool = False,
+    fields: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Parse the JSON text in `body` into the struct column `into`.
 
     A document that does not parse gives a struct of NULLs, a value of the wrong type NULL in its
     field. `other_names` maps a field to a second spelling that is read when the first is absent.
-    `keep_corrupt` adds the struct field `_corrupt_body` with the text that did not parse.
+    `keep_corrupt` adds the struct field `_corrupt_body` with the text that did not parse. `fields` are the ones to
+    read, if not all: Spark does not leave out by itself what is not used of a struct, and building values is most of
+    the cost.
     """
     schema = _body_type(body_schema)
+    if fields is not None:
+        schema = StructType([schema[name] for name in fields])
+        other_names = {name: other for name, other in (other_names or {}).items() if name in fields}
     wanted = StructType(list(schema.fields))
     options = {}
     for name, other in (other_names or {}).items():
@@ -105,12 +111,23 @@ def import_power(df: DataFrame) -> DataFrame:
     return df.where(_is_import_power())
 
 
-def silver(log: DataFrame, message: MessageClass) -> DataFrame:
-    """The flattened action table of one message class, from the event log."""
+def power_samples(log: DataFrame, message: MessageClass = METER_POWER) -> DataFrame:
+    """Total import power in the MeterValues messages of a log: transaction, time and value. Nothing else is parsed."""
+    return (
+        log.transform(of_class, message.action, message.message_type)
+        .transform(unpack_json, message.body)
+        .transform(meter_samples, only_power=True)
+        .select("transaction_id", "timestamp", "value")
+    )
+
+
+def silver(log: DataFrame, message: MessageClass, fields: tuple[str, ...] | None = None) -> DataFrame:
+    """The flattened action table of one message class, from the event log; of its body only `fields`, if given (not
+    for meter samples)."""
     unpacked = log.transform(of_class, message.action, message.message_type).transform(
-        unpack_json, message.body, other_names=message.other_names
+        unpack_json, message.body, other_names=message.other_names, fields=fields
     )
     if "meter_value" in _body_type(message.body).names:
         return meter_samples(unpacked, keep=ENVELOPE)
     flat = flatten_struct(unpacked)
-    return flat.withColumns({name: parse_timestamp(name) for name in message.timestamps})
+    return flat.withColumns({name: parse_timestamp(name) for name in message.timestamps if fields is None or name in fields})

@@ -97,9 +97,7 @@ def parking_time(
         F.col(ts).alias("_ts"),
         F.col(tie or value).alias("_tie"),
         "_place",
-        idle.alias("_first_idle"),
-        idle.alias("_last_idle"),
-        idle.alias("_any_idle"),
+        idle.cast("byte").alias("_idle"),
         CHUNK,
     )
     samples = samples.withColumn("_seconds", epoch_seconds("_ts"))
@@ -108,18 +106,18 @@ def parking_time(
         return F.when((idle == 1) & (idle_before == 1), seconds - seconds_before).otherwise(0)
 
     within = Window.partitionBy(key, CHUNK).orderBy("_ts", "_tie", "_place")
-    idle_before, idle_after = F.lag("_last_idle").over(within), F.lead("_first_idle").over(within)
-    inner = gap(F.col("_seconds"), F.col("_first_idle"), F.lag("_seconds").over(within), idle_before)
+    idle_before, idle_after = F.lag("_idle").over(within), F.lead("_idle").over(within)
+    inner = gap(F.col("_seconds"), F.col("_idle"), F.lag("_seconds").over(within), idle_before)
     # Plain numbers only, so that the chunks are aggregated by hash.
     chunks = (
         samples.select(
             key,
             CHUNK,
             "_seconds",
-            "_any_idle",
+            F.col("_idle").alias("_any_idle"),
             inner.alias("_gap"),
-            F.when(idle_before.isNull(), F.col("_first_idle")).alias("_first_idle"),
-            F.when(idle_after.isNull(), F.col("_last_idle")).alias("_last_idle"),
+            F.when(idle_before.isNull(), F.col("_idle")).alias("_first_idle"),
+            F.when(idle_after.isNull(), F.col("_idle")).alias("_last_idle"),
         )
         .groupBy(key, CHUNK)
         .agg(

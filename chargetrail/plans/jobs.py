@@ -18,10 +18,8 @@ from chargetrail.operators.joins import (
 from chargetrail.operators.messages import (
     flatten_struct,
     import_power,
-    meter_samples,
-    of_class,
+    power_samples,
     silver,
-    unpack_json,
 )
 from chargetrail.operators.ordered import drop_repeated_messages, latest_per_key
 from chargetrail.operators.parking import parking_time
@@ -31,6 +29,7 @@ from chargetrail.schemas import (
     CDR_COLUMNS,
     CDR_WIDE_COLUMNS,
     EVENT_LOG,
+    METER_POWER,
     METER_VALUES,
     SILVER_CLASSES,
     START_REQUEST,
@@ -83,6 +82,17 @@ def gold_cdr(
     )
 
 
+def transaction_ends(
+    log: DataFrame, response: MessageClass, request: MessageClass, stop: MessageClass
+) -> tuple[DataFrame, DataFrame]:
+    """Started transactions, and stops, of a log; only the fields that they have are parsed."""
+    started = started_transactions(
+        silver(log, response, ("transaction_id",)), silver(log, request, ("meter_start", "timestamp"))
+    )
+    wanted = ("transaction_id", "meter_stop", "timestamp")
+    return started, silver(log, stop, wanted).select(*wanted)
+
+
 def cdr_from_log(
     log: DataFrame,
     unit: str = "wh",
@@ -92,7 +102,7 @@ def cdr_from_log(
 ) -> DataFrame:
     """Charge data records straight from an event log in a columnar table.
 
-    Each message class is scanned and its JSON parsed once; the few columns that are needed are
+    Each message class is scanned and the needed fields of its JSON parsed once; the few columns that are needed are
     written to the shared folder, because joins on a parsed value would parse it again to test and
     count it. A CSV log would be read once per class: use the bronze table of `write_bronze` then.
     """
@@ -100,22 +110,11 @@ def cdr_from_log(
     def of(message: MessageClass) -> MessageClass:
         return message.wide_ids() if wide_ids else message
 
-    started = started_transactions(silver(log, of(START_RESPONSE)), silver(log, of(START_REQUEST)))
-    stops = silver(log, of(STOP_REQUEST)).select("transaction_id", "meter_stop", "timestamp")
-    meter = of(METER_VALUES)
-    power = (
-        log.transform(of_class, meter.action, meter.message_type)
-        .transform(unpack_json, meter.body)
-        .transform(meter_samples, only_power=True)
-        .select("transaction_id", "timestamp", "value")
-    )
+    # Most of the work first: what tasks have run before for other bodies slows the parsing down.
+    power = materialise(power_samples(log, of(METER_POWER)), "power")
+    started, stops = transaction_ends(log, of(START_RESPONSE), of(START_REQUEST), of(STOP_REQUEST))
     return gold_cdr(
-        materialise(started, "started"),
-        materialise(stops, "stops"),
-        materialise(power, "power"),
-        unit,
-        keep_left_key,
-        ranges,
+        materialise(started, "started"), materialise(stops, "stops"), power, unit, keep_left_key, ranges
     ).select(*CDR_COLUMNS)
 
 

@@ -24,6 +24,11 @@ METER_VALUES_BODY = (
     "sampled_value:array<struct<value:string, context:string, format:string, measurand:string, "
     "phase:string, unit:string>>>>"
 )
+#: What the power of a transaction needs of a MeterValues body.
+METER_POWER_BODY = (
+    "transaction_id int, meter_value array<struct<timestamp:string, "
+    "sampled_value:array<struct<value:string, measurand:string, phase:string>>>>"
+)
 STATUS_BODY = (
     "connector_id int, error_code string, status string, timestamp string, info string, "
     "vendor_id string, vendor_error_code string"
@@ -70,6 +75,7 @@ START_REQUEST = MessageClass("StartTransaction", REQUEST, START_REQUEST_BODY, ("
 START_RESPONSE = MessageClass("StartTransaction", RESPONSE, START_RESPONSE_BODY)
 STOP_REQUEST = MessageClass("StopTransaction", REQUEST, STOP_REQUEST_BODY, ("timestamp",))
 METER_VALUES = MessageClass("MeterValues", REQUEST, METER_VALUES_BODY, ("timestamp",))
+METER_POWER = MessageClass("MeterValues", REQUEST, METER_POWER_BODY, ("timestamp",))
 STATUS = MessageClass("StatusNotification", REQUEST, STATUS_BODY, ("timestamp",), STATUS_CAMEL_CASE)
 
 SILVER_CLASSES = (START_REQUEST, START_RESPONSE, STOP_REQUEST, METER_VALUES)
