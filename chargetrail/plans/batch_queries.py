@@ -21,7 +21,7 @@ from chargetrail.operators.joins import (
     started_transactions,
     with_bounds,
 )
-from chargetrail.operators.messages import flatten_struct, import_power, meter_samples, of_class, silver, unpack_json
+from chargetrail.operators.messages import flatten_struct, import_power, meter_samples, of_class, power_samples, silver, unpack_json
 from chargetrail.operators.ordered import (
     distinct_keys as sorted_keys,
     drop_repeated_messages,
@@ -47,6 +47,7 @@ from chargetrail.plans.derived_logs import (
 )
 from chargetrail.plans.registry import query
 from chargetrail.schemas import (
+    METER_POWER,
     METER_VALUES,
     SILVER_CLASSES,
     START_REQUEST,
@@ -458,9 +459,8 @@ def correlate_request_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = charging_log(spark, sf_dir)
-    started = started_transactions(silver(log, WIDE_START_RESPONSE), silver(log, WIDE_START_REQUEST))
-    stops = materialise(silver(log, WIDE_STOP_REQUEST), "stops")
-    return stops.transform(attach_starts, materialise(started, "started"))
+    started, stops = jobs.transaction_ends(log, WIDE_START_RESPONSE, WIDE_START_REQUEST, WIDE_STOP_REQUEST)
+    return materialise(stops, "stops").transform(attach_starts, materialise(started, "started"))
 
 
 def _epochs(df: DataFrame) -> DataFrame:
@@ -477,15 +477,9 @@ def session_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT s.*, total_parking_time FROM sessions s LEFT JOIN parked p USING (transaction_id)"""
 )
 def parking_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    meter = WIDE_METER_VALUES
-    power = (
-        charging_log(spark, sf_dir)
-        .transform(of_class, meter.action, meter.message_type)
-        .transform(unpack_json, meter.body)
-        .transform(meter_samples, only_power=True)
-    )
+    power = materialise(power_samples(charging_log(spark, sf_dir), METER_POWER.wide_ids()), "power")
     sessions = materialise(_sessions(spark, sf_dir), "sessions")
-    return _epochs(attach_parking(sessions, idle_hours(materialise(power, "power"))))
+    return _epochs(attach_parking(sessions, idle_hours(power)))
 
 
 # Aggregations
@@ -668,7 +662,7 @@ def charge_data_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CDR_SQL.format(meters="meter_start, meter_stop, ", energy=KWH_USED_SQL))
 def medallion_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = work_path(spark, "medallion-csv")
-    # As text the log is some forty times as large as its tables. A compressed file is one split, so it must be short.
+    # As text the log is some fifty times as large as its tables. A compressed file is one split, so it must be short.
     writer = charging_log(spark, sf_dir).write.option("maxRecordsPerFile", CSV_RECORDS)
     writer.option("header", True).option("compression", "gzip").csv(source)
     return _epochs(jobs.medallion(spark, source, work_path(spark, "medallion"), WIDE))
