@@ -56,7 +56,7 @@ class WordPieces(Pieces):
         self.alphabet = {b: 256 + i for i, b in enumerate(rest)}
 
     def _encode(self, missing: dict[str, str | bytes]) -> None:
-        rest, held, older = {}, self.ids, self.older[0]
+        rest, held, older = {}, self.ids, self.older
         tokenize = self.tokenizer.model.tokenize
 
         def one(match: str) -> bytes:

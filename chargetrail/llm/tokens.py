@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 
@@ -15,7 +16,8 @@ from tokenizers import Tokenizer  # noqa: E402
 #: Bounds of a worker's memo: entries of each of its two generations, and of what one step may add.
 MOST_PIECES = 500_000
 MOST_BYTES = 48 << 20
-LINE = 64
+#: Pieces that the library encodes as one line, and lines that it gets at once: a line's result has all its offsets.
+LINE, LINES = 64, 128
 
 #: A space that is followed by another space or by anything that some library takes for one, or ends the text.
 UNSAFE_SPACE = re.compile("[ ](?:$|[\\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿])")
@@ -54,37 +56,39 @@ def before_spaces(text: str) -> list[str]:
 
 
 class Pieces:
-    """Ids of pieces of text (and what they decode to), encoded once while they are remembered.
+    """Ids of pieces of text, encoded once while they are remembered.
 
-    The memo has two generations: when the newer is full it becomes the older one, and what is used again moves back.
-    Results don't depend on it. `joiner` may stand between pieces: the tokenizer cuts before each piece then.
+    The memo has two generations of `most` entries: when the newer is full it becomes the older one, and what is used
+    again moves back. Results don't depend on it. `joiner` may stand between pieces: the tokenizer cuts before each
+    piece then.
     """
 
-    def __init__(self, spec: str, joiner: str = "", decoded: bool = False):
-        self.tokenizer, self.joiner, self.decoded = load(spec), joiner, decoded
+    def __init__(self, spec: str, joiner: str = "", most: int = MOST_PIECES):
+        self.tokenizer, self.joiner, self.most = load(spec), joiner, most
         self.ids: dict[str | bytes, bytes] = {}
-        self.texts: dict[str | bytes, bytes] = {}
-        self.older: tuple[dict, dict] = ({}, {})
+        self.older: dict[str | bytes, bytes] = {}
         self.held = 0
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         #: Which ids begin with a space, in the byte alphabet of byte-level tokenizers.
-        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
-        self.spaced = np.array([(name or "").startswith("\u0120") for name in names])
+        self.spaced = np.array([name.startswith("\u0120") for name in names])
+        self.names = [name.encode() for name in names]
 
     def learn(self, pieces: Iterable[str | bytes]) -> None:
-        """Afterwards `ids` (and `texts`) have all of `pieces`, which are all text or all UTF-8."""
-        if len(self.ids) > MOST_PIECES or self.held > MOST_BYTES:
-            self.older, self.ids, self.texts, self.held = (self.ids, self.texts), {}, {}, 0
-        ids, texts = self.older
+        """Afterwards `ids` has all of `pieces`, which are all text or all UTF-8."""
+        if len(self.ids) > self.most or self.held > MOST_BYTES:
+            self.older, self.ids, self.held = self.ids, {}, 0
         missing = []
         for piece in set(pieces).difference(self.ids):
-            if piece in ids:
-                self.ids[piece] = ids[piece]
-                if self.decoded:
-                    self.texts[piece] = texts[piece]
+            if piece in self.older:
+                self.ids[piece] = self.older[piece]
             else:
                 missing.append(piece)
         self._encode({p.decode() if isinstance(p, bytes) else p: p for p in missing})
 
+    def decoded(self, ids: bytes) -> bytes:
+        """What a tokenizer without a decoder of its own makes of ids: their tokens, joined by spaces."""
+        return b" ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
     def _encode(self, missing: dict[str, str | bytes]) -> None:
         """Encode pieces in lines of several, and cut the ids where a piece ends; the values are the memo's keys."""
         alone = [[p] for p in missing if not (self.joiner or p.startswith(" ") and " " not in p[1:])]
@@ -92,7 +96,9 @@ class Pieces:
         lines = alone + [rest[i : i + LINE] for i in range(0, len(rest), LINE)]
         # Offsets are costly; pieces with their only space in front can be told by it.
         encode = self.tokenizer.encode_batch if self.joiner else self.tokenizer.encode_batch_fast
-        for line, result in zip(lines, encode([self.joiner.join(line) for line in lines], add_special_tokens=False)):
+        parts = (lines[i : i + LINES] for i in range(0, len(lines), LINES))
+        results = (encode([self.joiner.join(line) for line in part], add_special_tokens=False) for part in parts)
+        for line, result in zip(lines, chain.from_iterable(results)):
             ids = np.asarray(result.ids, dtype="<u4")
             if len(line) == 1:
                 cuts = [0, len(ids)]
@@ -102,21 +108,19 @@ class Pieces:
                 cuts = [0, *np.searchsorted(token_ends, piece_ends, side="right").tolist()]
             else:
                 cuts = [*np.flatnonzero(self.spaced[ids]).tolist(), len(ids)]
-            data, tokens = ids.tobytes(), result.tokens if self.decoded else ()
+            data = ids.tobytes()
             for piece, a, b in zip(line, cuts, cuts[1:]):
                 self.ids[missing[piece]] = data[4 * a : 4 * b]
-                if self.decoded:
-                    self.texts[missing[piece]] = " ".join(tokens[a:b]).encode()
             self.held += 8 * len(ids) + sum(map(len, line))
 
 
-_LOADED: dict[tuple[str, str, bool], Pieces] = {}
+_LOADED: dict[tuple[str, str, int], Pieces] = {}
 
 
-def shared_pieces(spec: str, joiner: str = "", decoded: bool = False) -> Pieces:
+def shared_pieces(spec: str, joiner: str = "", most: int = MOST_PIECES) -> Pieces:
     """One memo per Python worker, so tasks that follow each other share it."""
-    key = (spec, joiner, decoded)
+    key = (spec, joiner, most)
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Pieces(spec, joiner, decoded)
+        _LOADED[key] = Pieces(spec, joiner, most)
     return _LOADED[key]

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -153,6 +154,26 @@ def test_chunked_bpe_equals_the_library(docs, no_docs):
     assert chunked_bpe.encode_and_decode(no_docs, spec).isEmpty()
 
 
+def test_what_a_worker_remembers_of_a_chunked_corpus_stays_small():
+    """640,000 different words and all their chunks took more than 150 MB of a worker before."""
+    spec = chunked_bpe.tokenizer_spec("word_bpe_49k.json")
+    encoder, plain = chunked_bpe.shared_encoder(spec), Tokenizer.from_str(spec)
+    letters = np.random.default_rng(6).integers(97, 123, (640_000, 6), dtype=np.uint8)
+    letters[:, 5] = 32
+    tracemalloc.start()
+    try:
+        for part in np.split(letters, 16):
+            encoder.encode([part[i : i + 1000].tobytes().decode() for i in range(0, len(part), 1000)])
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 64 << 20
+    texts = [letters[i : i + 500].tobytes().decode() for i in (0, 300_000, 639_000)]  # forgotten and remembered ones
+    for text, (ids, decoded) in zip(texts, encoder.encode(texts)):
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert ids == bytes(as_bytes(want)) and decoded.decode() == plain.decode(want, skip_special_tokens=False)
+
+
 def test_chunks_do_not_depend_on_what_precedes():
     body = np.frombuffer(bytes(range(32, 127)) * 40, np.uint8)
     shifted = np.concatenate([np.frombuffer(b"some other start", np.uint8), body])
